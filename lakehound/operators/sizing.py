@@ -1,0 +1,25 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded count proves it has at most
+``max_rows`` rows; the check reads at most ``max_rows + 1`` rows. Beyond the
+bound the frame is returned as is and the join stays a shuffle join (AQE may
+still switch it at run time from real sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound for dimensions we are willing to ship to every executor.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded scan)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint on ``df`` when its row count is proven under the bound."""
+    return F.broadcast(df) if fits(df, max_rows) else df
