@@ -60,12 +60,9 @@ def polyline_length(poly) -> Column:
 
 
 def cumulative_distance(poly) -> Column:
-    """Running distance at each vertex (first vertex 0), per row."""
-    segs = segments(poly)
-    return F.transform(
-        F.sequence(F.lit(0), F.size(segs)),
-        lambda i: F.aggregate(F.slice(F.concat(F.array(F.lit(0.0)), F.transform(segs, lambda s: s["len"])),
-                                      1, i + 1), F.lit(0.0), lambda acc, x: acc + x))
+    """Running distance at each vertex (first vertex 0), one pass per row."""
+    return F.aggregate(segments(poly), F.array(F.lit(0.0)),
+                       lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + s["len"])))
 
 
 def _interp(a: Column, b: Column, f: Column) -> Column:
@@ -73,39 +70,66 @@ def _interp(a: Column, b: Column, f: Column) -> Column:
                     (a["lon"] + (b["lon"] - a["lon"]) * f).alias("lon"))
 
 
-def _walk(poly, target: Column, clamp_f: bool) -> Column:
+def walk(segs, target, clamp_f: bool) -> Column:
     """First segment whose running end reaches ``target`` (else the last one).
 
-    Returns struct(seg, f): the segment and the fraction along it.
+    ``segs`` is a segment array (see :func:`segments`), best a materialised
+    column so the haversines are computed once. One ``aggregate`` pass keeps
+    (running distance, index, chosen index, chosen start). Returns
+    struct(seg, f): the segment and the fraction along it.
     """
-    segs = segments(poly)
-    lens = F.transform(segs, lambda s: s["len"])
-    # running start distance of each segment
-    starts = F.transform(F.sequence(F.lit(1), F.size(segs)),
-                         lambda i: F.aggregate(F.slice(lens, 1, i - 1), F.lit(0.0),
-                                               lambda acc, x: acc + x))
-    idx = F.transform(F.sequence(F.lit(1), F.size(segs)), lambda i: i)
-    hits = F.filter(idx, lambda i: (F.element_at(starts, i) + F.element_at(lens, i) >= target)
-                    | (i == F.size(segs)))
-    k = F.element_at(hits, 1)
-    seg = F.element_at(segs, k)
-    d = target - F.element_at(starts, k)
+    sg = _c(segs)
+    tgt = _c(target)
+    n = F.size(sg)
+    init = F.struct(F.lit(0.0).alias("pos"), F.lit(0).alias("i"), F.lit(0).alias("k"),
+                    F.lit(0.0).alias("kstart"))
+
+    def step(st, s):
+        i = st["i"] + 1
+        take = (st["k"] == 0) & ((st["pos"] + s["len"] >= tgt) | (i == n))
+        return F.struct((st["pos"] + s["len"]).alias("pos"), i.alias("i"),
+                        F.when(take, i).otherwise(st["k"]).alias("k"),
+                        F.when(take, st["pos"]).otherwise(st["kstart"]).alias("kstart"))
+
+    st = F.aggregate(sg, init, step)
+    seg = F.element_at(sg, st["k"])
+    d = tgt - st["kstart"]
     f = F.when(seg["len"] > 0, d / seg["len"]).otherwise(F.lit(0.0))
     if clamp_f:
         f = F.least(F.greatest(f, F.lit(0.0)), F.lit(1.0))
     return F.struct(seg.alias("seg"), f.alias("f"))
 
 
+def segments_length(segs) -> Column:
+    """Total length of a segment array."""
+    return F.aggregate(_c(segs), F.lit(0.0), lambda acc, s: acc + s["len"])
+
+
+def point_at_segments(segs, first, d) -> Column:
+    """G5 on a materialised segment array; ``first`` is the polyline's first vertex."""
+    w = walk(segs, d, clamp_f=False)
+    moved = _interp(w["seg"]["a"], w["seg"]["b"], w["f"])
+    return F.when(_c(d) <= 0, _c(first)).otherwise(moved)
+
+
+def midpoint_and_bearing_segments(segs) -> Column:
+    """G6 on a materialised segment array."""
+    w = walk(segs, segments_length(segs) / 2.0, clamp_f=True)
+    a, b = w["seg"]["a"], w["seg"]["b"]
+    mid = _interp(a, b, w["f"])
+    return F.struct(mid["lat"].alias("mid_lat"), mid["lon"].alias("mid_lon"),
+                    bearing(a["lat"], a["lon"], b["lat"], b["lon"]).alias("bearing"))
+
+
 def point_at(poly, d) -> Column:
     """Point at distance ``d`` metres along the polyline.
 
     ``d <= 0`` gives the first vertex; past the end the last segment is
-    extrapolated (fraction above 1), as the simulator does.
+    extrapolated (fraction above 1), as the simulator does. For large inputs
+    prefer :func:`with_point_at`, which computes the segments once.
     """
     p = _c(poly)
-    w = _walk(p, _c(d), clamp_f=False)
-    moved = _interp(w["seg"]["a"], w["seg"]["b"], w["f"])
-    return F.when(_c(d) <= 0, F.element_at(p, 1)).otherwise(moved)
+    return point_at_segments(segments(p), F.element_at(p, 1), d)
 
 
 def midpoint_and_bearing(poly) -> Column:
@@ -113,12 +137,20 @@ def midpoint_and_bearing(poly) -> Column:
 
     struct(mid_lat, mid_lon, bearing); the fraction is clamped to [0, 1].
     """
-    p = _c(poly)
-    w = _walk(p, polyline_length(p) / 2.0, clamp_f=True)
-    a, b = w["seg"]["a"], w["seg"]["b"]
-    mid = _interp(a, b, w["f"])
-    return F.struct(mid["lat"].alias("mid_lat"), mid["lon"].alias("mid_lon"),
-                    bearing(a["lat"], a["lon"], b["lat"], b["lon"]).alias("bearing"))
+    return midpoint_and_bearing_segments(segments(_c(poly)))
+
+
+def with_point_at(df, poly: str, d, name: str):
+    """DataFrame form of G5: segment array materialised once per row."""
+    out = df.withColumn("_segs", segments(poly))
+    return out.withColumn(name, point_at_segments("_segs", F.element_at(F.col(poly), 1), d)) \
+        .drop("_segs")
+
+
+def with_midpoint(df, poly: str, name: str):
+    """DataFrame form of G6: segment array materialised once per row."""
+    out = df.withColumn("_segs", segments(poly))
+    return out.withColumn(name, midpoint_and_bearing_segments("_segs")).drop("_segs")
 
 
 def parse_linestring(text) -> Column:

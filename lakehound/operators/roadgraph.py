@@ -132,9 +132,10 @@ def link_geo(edges: DataFrame) -> DataFrame:
     e = e.filter(F.size("poly") >= 2)
     one = first_by_key(e.select("link_id", "is_reverse", "src", "dst", "poly"), ["link_id"],
                        [F.col("is_reverse").asc(), F.col("src").asc(), F.col("dst").asc()])
-    mb = geo.midpoint_and_bearing("poly")
-    return one.select("link_id", mb["mid_lat"].alias("mid_lat"), mb["mid_lon"].alias("mid_lon"),
-                      mb["bearing"].alias("bearing"))
+    mb = F.col("_mb")
+    return geo.with_midpoint(one, "poly", "_mb").select(
+        "link_id", mb["mid_lat"].alias("mid_lat"), mb["mid_lon"].alias("mid_lon"),
+        mb["bearing"].alias("bearing"))
 
 
 def expected_speed_expr(maxspeed, road_type, hour, link) -> Column:

@@ -23,8 +23,9 @@ SOURCES = ("client-jp", "client-eu", "client-us", "client-fraud")  # by user_id
 MODEL_VERSION = "v1"
 
 # Total order for picking one row per pos_uuid (X1: id alone ties).
-POSITION_ORDER = [F.col("id").desc(), F.col("tie").desc(), F.col("speed_kmh").desc(),
-                  F.col("vehicle_id").asc(), F.col("link_id").asc(), F.col("created_at").desc()]
+def position_order() -> list:
+    return [F.col("id").desc(), F.col("tie").desc(), F.col("speed_kmh").desc(),
+            F.col("vehicle_id").asc(), F.col("link_id").asc(), F.col("created_at").desc()]
 
 
 def _pick(c, values) -> F.Column:
@@ -111,7 +112,7 @@ def vehicle_positions_raw(t: Tables) -> DataFrame:
 
 def vehicle_positions(t: Tables) -> DataFrame:
     """Merged read of the positions table: latest row per pos_uuid."""
-    return latest_by_key(vehicle_positions_raw(t), ["pos_uuid"], POSITION_ORDER).drop("tie")
+    return latest_by_key(vehicle_positions_raw(t), ["pos_uuid"], position_order()).drop("tie")
 
 
 def link_geo(t: Tables) -> DataFrame:
