@@ -1 +1,108 @@
-"""Model-side registered queries (training, scoring, registry)."""
+"""Model-side registered queries: evaluation log, panels on it, training and scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakehound.operators.dedup import latest_by_key
+from lakehound.plans import fraud_panels as P
+from lakehound.plans.catalog import register
+from lakehound.plans.evaluation import daily_model_runs
+from lakehound.functions.scalar import congestion_level
+from lakehound.plans.features import fraud_features
+from lakehound.plans.oracle import fraud
+from lakehound.plans.training import score_fraud, train_congestion, train_fraud
+from lakehound.sources import fixtures as X
+from lakehound.sources.tables import Tables
+
+_RUNS_SQL = """,
+scored AS (
+  SELECT date_trunc('day', t.created_at) AS day, p.fraud_probability AS score, t.is_fraud AS label
+  FROM predictions p JOIN transactions t ON p.tx_uuid = t.tx_uuid
+),
+steps AS (
+  SELECT day, CAST(round(score * 10000) AS BIGINT) AS step,
+    CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+    CAST(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg
+  FROM scored GROUP BY 1, 2
+),
+below AS (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY day ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+  FROM steps
+),
+auc AS (
+  SELECT day, sum(CAST(pos AS DOUBLE) * (CAST(nb AS DOUBLE) + CAST(neg AS DOUBLE) * 0.5)) AS u,
+    sum(pos) AS p, sum(neg) AS n FROM below GROUP BY day
+),
+daily AS (
+  SELECT date_trunc('day', created_at) AS day, count(*) AS n_test FROM transactions GROUP BY 1
+),
+model_runs AS (
+  SELECT 'd' || strftime(d.day, '%Y%m%d') AS model_version, CAST(d.day AS TIMESTAMP) AS trained_at,
+    CAST(coalesce(sum(d.n_test) OVER (ORDER BY d.day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS n_train,
+    CAST(d.n_test AS BIGINT) AS n_test,
+    round(CASE WHEN a.p > 0 AND a.n > 0 THEN a.u / (CAST(a.p AS DOUBLE) * CAST(a.n AS DOUBLE)) END, 4) AS metric
+  FROM daily d LEFT JOIN auc a ON d.day = a.day
+)
+"""
+
+
+def _runs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    tx = X.transactions(t)
+    return daily_model_runs(X.predictions(t, tx), tx)
+
+
+@register("model_runs_daily", fraud(_RUNS_SQL + "SELECT * FROM model_runs"))
+def model_runs_daily(spark, sf_dir):
+    return _runs(spark, sf_dir)
+
+
+@register("latest_metric", fraud(_RUNS_SQL + """
+SELECT metric FROM model_runs ORDER BY trained_at DESC, model_version LIMIT 1"""))
+def latest_metric(spark, sf_dir):
+    return P.latest_metric(_runs(spark, sf_dir))
+
+
+@register("model_history", fraud(_RUNS_SQL + """
+SELECT trained_at AS time, metric FROM model_runs ORDER BY time"""))
+def model_history(spark, sf_dir):
+    return P.model_history(_runs(spark, sf_dir))
+
+
+def _fraud_feats(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    tx = X.transactions(t)
+    latest = latest_by_key(tx, ["tx_uuid"], [F.col("id").desc(), F.col("created_at").desc()])
+    return t, tx, fraud_features(latest)
+
+
+@register("train_fraud_model")
+def train_fraud_model(spark, sf_dir):
+    """M3/M4/M6: train on the whole feature set; one row of run metrics."""
+    _, _, feats = _fraud_feats(spark, sf_dir)
+    res = train_fraud(feats)
+    m = res.metrics
+    return spark.createDataFrame([(m["n_train"], m["n_test"], m["roc_auc"])],
+                                 "n_train long, n_test long, roc_auc double")
+
+
+@register("score_backlog")
+def score_backlog(spark, sf_dir):
+    """Train, then score every transaction that has no prediction yet."""
+    t, tx, feats = _fraud_feats(spark, sf_dir)
+    res = train_fraud(feats)
+    backlog = P.unscored_features(tx, X.predictions(t, tx)).withColumn(
+        "amount_log", F.log1p("amount"))
+    return score_fraud(res.model, backlog, "v-backlog", keep=["created_at"])
+
+
+@register("train_congestion_model")
+def train_congestion_model(spark, sf_dir):
+    """M5/M7: 3-class forest on the congestion features; one row of run metrics."""
+    pos = X.vehicle_positions(Tables(spark, sf_dir))
+    feats = pos.select("pos_uuid", "road_type", "maxspeed", "sim_hour", "sim_dow",
+                       congestion_level(F.col("speed_kmh")).alias("congestion"))
+    m = train_congestion(feats, key="pos_uuid").metrics
+    return spark.createDataFrame([(m["n_train"], m["n_test"], float(m["accuracy"]))],
+                                 "n_train long, n_test long, accuracy double")
