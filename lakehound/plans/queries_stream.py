@@ -1 +1,71 @@
-"""Streaming registered queries (run to completion with availableNow)."""
+"""Streaming registered queries.
+
+The derived transactions are written as JSON lines (the change-topic
+payload) to a fresh folder under the shared checkpoint location, a stream
+reads them with ``availableNow`` and writes its result to parquet, and the
+query returns that parquet table.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from lakehound.plans.catalog import register
+from lakehound.plans.oracle import fraud
+from lakehound.schemas import FRAUD_EVENT_FULL
+from lakehound.session import shared_dir
+from lakehound.sources import fixtures as X
+from lakehound.sources.tables import Tables
+from lakehound.streaming.changes import parse_change, read_change_stream, with_event_time
+from lakehound.streaming.scorer import start
+from lakehound.streaming.windows import dedup_stream, minute_counts_stream
+
+DELAY = "10 minutes"
+
+
+def _replay(spark, sf_dir, copies_every: int | None = None):
+    """Write transactions as JSON change events; optionally repeat every n-th event."""
+    root = shared_dir(spark, "stream")
+    tx = X.transactions(Tables(spark, sf_dir))
+    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+           "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    events = tx.select(F.to_json(F.struct(*[F.col(c) for c in tx.columns]), fmt).alias("value"),
+                       "id")
+    if copies_every:
+        events = events.unionByName(events.filter(F.col("id") % copies_every == 0))
+    events.select("value").write.mode("overwrite").text(os.path.join(root, "in"))
+    stream = parse_change(read_change_stream(spark, {"kind": "files",
+                                                     "path": os.path.join(root, "in")}),
+                          FRAUD_EVENT_FULL)
+    return root, with_event_time(stream)
+
+
+@register("stream_minute_counts", fraud(f"""
+SELECT date_trunc('minute', created_at) AS time, source, count(*) AS events FROM transactions
+WHERE date_trunc('minute', created_at) + INTERVAL 1 MINUTE
+      <= (SELECT max(created_at) FROM transactions) - INTERVAL {DELAY}
+GROUP BY 1, 2"""))
+def stream_minute_counts(spark, sf_dir):
+    """Per-minute counts from the stream; windows closed by the watermark."""
+    root, s = _replay(spark, sf_dir)
+    out = os.path.join(root, "out")
+    q = start(minute_counts_stream(s, DELAY), os.path.join(root, "ckpt"), path=out,
+              available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(F.col("time").cast("timestamp_ntz").alias("time"),
+                                          "source", "events")
+
+
+@register("stream_dedup", fraud("""
+SELECT tx_uuid, amount, created_at FROM transactions"""))
+def stream_dedup(spark, sf_dir):
+    """Every seventh event replayed; the stream keeps one per tx_uuid."""
+    root, s = _replay(spark, sf_dir, copies_every=7)
+    out = os.path.join(root, "out")
+    q = start(dedup_stream(s, "tx_uuid", DELAY).select("tx_uuid", "amount", "created_at"),
+              os.path.join(root, "ckpt"), path=out, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(
+        "tx_uuid", "amount", F.col("created_at").cast("timestamp_ntz").alias("created_at"))
