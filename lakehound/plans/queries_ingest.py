@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from lakehound.operators.dedup import latest_by_key
 from lakehound.plans.catalog import register
 from lakehound.plans.oracle import ALL, fraud, road
 from lakehound.schemas import TRANSACTIONS
+from lakehound.session import shared_dir
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
 from lakehound.streaming.changes import FRAUD_RULES, ROAD_RULES, cdc_unwrap
@@ -64,14 +67,21 @@ def change_envelopes(tx: DataFrame) -> DataFrame:
     return create.unionByName(update).unionByName(delete).unionByName(tomb)
 
 
+def _change_log(spark, sf_dir) -> DataFrame:
+    """The change log written once to the shared folder, read back like a topic dump."""
+    tx = X.transactions(Tables(spark, sf_dir))
+    path = os.path.join(shared_dir(spark, "changes"), "log")
+    change_envelopes(tx).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("cdc_current_drop_deletes", fraud("""
 SELECT tx_uuid, CASE WHEN id % 5 = 0 THEN amount + 1 ELSE amount END AS amount,
   CASE WHEN id % 5 = 0 THEN 'u' ELSE 'c' END AS op
 FROM transactions"""))
 def cdc_current_drop_deletes(spark, sf_dir):
     """S3 default: deletes and tombstones dropped, so deleted rows keep their last image."""
-    tx = X.transactions(Tables(spark, sf_dir))
-    rows = cdc_unwrap(change_envelopes(tx), TRANSACTIONS).withColumn(
+    rows = cdc_unwrap(_change_log(spark, sf_dir), TRANSACTIONS).withColumn(
         "_v", F.when(F.col("op") == "u", 1).otherwise(0))
     cur = latest_by_key(rows, ["tx_uuid"], [F.col("_v").desc(), F.col("amount").desc()])
     return cur.select("tx_uuid", "amount", "op")
@@ -82,9 +92,7 @@ SELECT tx_uuid, CASE WHEN id % 5 = 0 THEN amount + 1 ELSE amount END AS amount
 FROM transactions WHERE id % 11 <> 0"""))
 def cdc_current_flag_deletes(spark, sf_dir):
     """S3 ``flag``: deletes kept as flagged rows; after the versioned read they are removed."""
-    tx = X.transactions(Tables(spark, sf_dir))
-    ch = change_envelopes(tx)
-    rows = cdc_unwrap(ch, TRANSACTIONS, deletes="flag").withColumn(
+    rows = cdc_unwrap(_change_log(spark, sf_dir), TRANSACTIONS, deletes="flag").withColumn(
         "_v", F.when(F.col("op") == "d", 2).when(F.col("op") == "u", 1).otherwise(0))
     cur = latest_by_key(rows, ["tx_uuid"], [F.col("_v").desc()])
     return cur.filter(~F.col("is_deleted")).select("tx_uuid", "amount")

@@ -32,14 +32,25 @@ def read_change_stream(spark: SparkSession, source: dict) -> DataFrame:
     return r.load(source["path"]).select("value")
 
 
+def _parsed_once(df: DataFrame, value: str, schema: T.StructType, keep) -> DataFrame:
+    """Parse ``value`` once per row and expand the struct.
+
+    The struct goes through ``inline`` (a generator), so later filters on the
+    parsed fields stay above it instead of being pushed down as extra
+    ``from_json`` calls. Unparseable values (NULL struct) produce no row.
+    """
+    parsed = F.filter(F.array(F.from_json(F.col(value).cast("string"), schema)),
+                      lambda x: x.isNotNull())
+    return df.select(F.inline(parsed), *keep)
+
+
 def parse_change(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """JSON value -> typed columns; unknown fields are ignored.
 
-    Malformed JSON yields a row of NULLs (drop it with :func:`require_key`).
+    Other input columns (e.g. the Kafka offset) are kept. Malformed JSON
+    gives a row of NULLs or no row; drop those with :func:`require_key`.
     """
-    return (df.select(F.from_json(F.col(value).cast("string"), schema).alias("_d"),
-                      *[c for c in df.columns if c != value])
-            .select("_d.*", *[c for c in df.columns if c != value]))
+    return _parsed_once(df, value, schema, [c for c in df.columns if c != value])
 
 
 def cdc_unwrap(df: DataFrame, row_schema: T.StructType, deletes: str = "drop",
@@ -50,13 +61,12 @@ def cdc_unwrap(df: DataFrame, row_schema: T.StructType, deletes: str = "drop",
     ``op = 'd'``; ``deletes="flag"`` keeps them as the before-image with
     ``is_deleted = true`` (apply after the versioned read).
     """
-    env = F.from_json(F.col(value).cast("string"), cdc_envelope(row_schema)).alias("_e")
-    e = df.filter(F.col(value).isNotNull()).select(env).filter(F.col("_e").isNotNull())
+    e = _parsed_once(df.filter(F.col(value).isNotNull()), value, cdc_envelope(row_schema), [])
     if deletes == "drop":
-        return e.filter(F.col("_e.op") != "d").select("_e.after.*", F.col("_e.op").alias("op"))
+        return e.filter(F.col("op") != "d").select("after.*", "op")
     if deletes == "flag":
-        img = F.when(F.col("_e.op") == "d", F.col("_e.before")).otherwise(F.col("_e.after"))
-        return e.select(img.alias("_r"), F.col("_e.op").alias("op")).select(
+        img = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+        return e.select(img.alias("_r"), "op").select(
             "_r.*", "op", (F.col("op") == "d").alias("is_deleted"))
     raise ValueError("deletes must be 'drop' or 'flag'")
 
