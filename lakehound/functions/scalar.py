@@ -129,3 +129,12 @@ def link_factor(link) -> Column:
 def clamp(c, lo: float, hi: float) -> Column:
     """limit a value to [lo, hi]."""
     return F.least(F.greatest(_c(c), F.lit(lo)), F.lit(hi))
+
+
+def round_half_up(c, n: int) -> Column:
+    """F8: round to ``n`` decimals, ties away from zero, on the decimal value.
+
+    The double is first fixed to 10 decimals (DECIMAL(38,10)), so noise in the
+    last bits of an average cannot move a tie such as 0.3085 either way.
+    """
+    return F.round(_c(c).cast("decimal(38,10)"), n).cast("double")

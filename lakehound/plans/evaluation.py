@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakehound.functions.scalar import round_half_up
 from lakehound.operators.metrics import auc_by_group
 
 
@@ -29,4 +30,4 @@ def daily_model_runs(p: DataFrame, t: DataFrame) -> DataFrame:
                     F.col("day").alias("trained_at"),
                     F.col("n_train").cast("long").alias("n_train"),
                     F.col("n_test").cast("long").alias("n_test"),
-                    F.round("auc", 4).alias("metric")))
+                    round_half_up("auc", 4).alias("metric")))

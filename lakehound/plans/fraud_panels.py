@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehound.functions.scalar import dow_sun1, hour_of, minute_of
+from lakehound.functions.scalar import dow_sun1, hour_of, minute_of, round_half_up
 from lakehound.operators import aggregates as A
 from lakehound.operators.filters import time_filter
 from lakehound.operators.joins import scored_transactions, unscored
@@ -59,7 +59,7 @@ def country_risk(p: DataFrame, t: DataFrame) -> DataFrame:
     j = scored_transactions(p, t, ["fraud_probability", "pred_label"], ["country"])
     return (j.groupBy("country")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.round(F.avg("fraud_probability"), 3).alias("avg_prob"),
+                 round_half_up(F.avg("fraud_probability"), 3).alias("avg_prob"),
                  F.sum("pred_label").cast("long").alias("predicted_fraud"))
             .orderBy(F.col("avg_prob").desc(), F.col("country")))
 
@@ -100,8 +100,8 @@ def recent_scored(p: DataFrame, t: DataFrame, n: int = 100) -> DataFrame:
     return top_k(j, ["created_at"], n, ["tx_uuid"]).select(
         "created_at", "source", "country", "device",
         F.col("merchant_category").alias("category"),
-        F.round("amount", 2).alias("amount"),
-        F.round("fraud_probability", 3).alias("fraud_prob"),
+        round_half_up("amount", 2).alias("amount"),
+        round_half_up("fraud_probability", 3).alias("fraud_prob"),
         F.col("pred_label").alias("pred"))
 
 

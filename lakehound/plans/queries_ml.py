@@ -41,7 +41,7 @@ model_runs AS (
   SELECT 'd' || strftime(d.day, '%Y%m%d') AS model_version, CAST(d.day AS TIMESTAMP) AS trained_at,
     CAST(coalesce(sum(d.n_test) OVER (ORDER BY d.day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS n_train,
     CAST(d.n_test AS BIGINT) AS n_test,
-    round(CASE WHEN a.p > 0 AND a.n > 0 THEN a.u / (CAST(a.p AS DOUBLE) * CAST(a.n AS DOUBLE)) END, 4) AS metric
+    CAST(round(CAST(CASE WHEN a.p > 0 AND a.n > 0 THEN a.u / (CAST(a.p AS DOUBLE) * CAST(a.n AS DOUBLE)) END AS DECIMAL(38,10)), 4) AS DOUBLE) AS metric
   FROM daily d LEFT JOIN auc a ON d.day = a.day
 )
 """

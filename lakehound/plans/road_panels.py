@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehound.functions.scalar import congestion_level
+from lakehound.functions.scalar import congestion_level, round_half_up
 from lakehound.operators import aggregates as A
 from lakehound.operators.filters import recent, time_filter
 from lakehound.operators.joins import with_dimension
@@ -61,7 +61,7 @@ def link_congestion(pos: DataFrame, as_of=None, window: str = "5 MINUTES",
     return (s.filter((F.col("n") >= min_n)
                      & (F.col("last_seen") > ref - F.expr(f"INTERVAL {fresh}")))
             .select("link_id", congestion_level(F.col("s")).alias("congestion"), "n",
-                    F.round("s", 2).alias("avg_speed"), "last_seen"))
+                    round_half_up("s", 2).alias("avg_speed"), "last_seen"))
 
 
 def congestion_map(pos: DataFrame, link_geo: DataFrame, as_of=None, window: str = "5 MINUTES",
@@ -108,8 +108,8 @@ def pred_vs_actual(cp: DataFrame) -> DataFrame:
     """Per road type the count and mean predicted / actual level (2 decimals)."""
     return (cp.groupBy("road_type")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.round(F.avg("pred_congestion"), 2).alias("pred_avg"),
-                 F.round(F.avg("actual_congestion"), 2).alias("actual_avg"))
+                 round_half_up(F.avg("pred_congestion"), 2).alias("pred_avg"),
+                 round_half_up(F.avg("actual_congestion"), 2).alias("actual_avg"))
             .orderBy(F.col("n").desc(), F.col("road_type")))
 
 
@@ -117,4 +117,4 @@ def recent_congestion(cp: DataFrame, n: int = 100) -> DataFrame:
     """The ``n`` newest congestion predictions."""
     return top_k(cp, ["scored_at"], n, ["pos_uuid"]).select(
         "event_time", "vehicle_id", "road_type", "link_id", "sim_hour", "pred_congestion",
-        "actual_congestion", F.round("pred_proba", 3).alias("prob"))
+        "actual_congestion", round_half_up("pred_proba", 3).alias("prob"))
