@@ -13,14 +13,14 @@ import os
 from pyspark.sql import functions as F
 
 from lakehound.plans.catalog import register
-from lakehound.plans.oracle import fraud
-from lakehound.schemas import FRAUD_EVENT_FULL
+from lakehound.plans.oracle import fraud, road
+from lakehound.schemas import FRAUD_EVENT_FULL, ROAD_EVENT
 from lakehound.session import shared_dir
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
 from lakehound.streaming.changes import parse_change, read_change_stream, with_event_time
 from lakehound.streaming.scorer import start
-from lakehound.streaming.windows import dedup_stream, minute_counts_stream
+from lakehound.streaming.windows import dedup_stream, link_congestion_stream, minute_counts_stream
 
 DELAY = "10 minutes"
 
@@ -69,3 +69,30 @@ def stream_dedup(spark, sf_dir):
     q.awaitTermination()
     return spark.read.parquet(out).select(
         "tx_uuid", "amount", F.col("created_at").cast("timestamp_ntz").alias("created_at"))
+
+
+@register("stream_link_congestion", road("""
+SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, link_id,
+  CASE WHEN avg(speed_kmh) < 12 THEN 2 WHEN avg(speed_kmh) < 24 THEN 1 ELSE 0 END AS congestion,
+  count(*) AS n, CAST(round(CAST(avg(speed_kmh) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_speed
+FROM (SELECT link_id, speed_kmh, date_trunc('minute', created_at) - to_minutes(r.k) AS ws
+      FROM vehicle_positions, range(0, 5) r(k)) w
+WHERE ws + INTERVAL 5 MINUTE <= (SELECT max(created_at) FROM vehicle_positions) - INTERVAL 1 MINUTE
+GROUP BY ws, link_id"""))
+def stream_link_congestion(spark, sf_dir):
+    """Positions replayed as change events; 5-minute windows sliding by 1 minute per link."""
+    root = shared_dir(spark, "stream")
+    pos = X.vehicle_positions(Tables(spark, sf_dir))
+    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    pos.select(F.to_json(F.struct(*[F.col(c) for c in pos.columns]), fmt).alias("value")) \
+        .write.mode("overwrite").text(os.path.join(root, "in"))
+    s = with_event_time(parse_change(read_change_stream(
+        spark, {"kind": "files", "path": os.path.join(root, "in")}), ROAD_EVENT))
+    out = os.path.join(root, "out")
+    q = start(link_congestion_stream(s, "1 minute"), os.path.join(root, "ckpt"), path=out,
+              available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "link_id", "congestion", "n", "avg_speed")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehound.functions.scalar import congestion_level
+from lakehound.functions.scalar import congestion_level, round_half_up
 
 
 def minute_counts_stream(df: DataFrame, delay: str = "10 minutes", ts: str = "created_at",
@@ -30,7 +30,7 @@ def link_congestion_stream(df: DataFrame, delay: str = "1 minute", ts: str = "cr
             .agg(F.avg("speed_kmh").alias("avg_speed"), F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "link_id", congestion_level(F.col("avg_speed")).alias("congestion"), "n",
-                    F.round("avg_speed", 2).alias("avg_speed")))
+                    round_half_up("avg_speed", 2).alias("avg_speed")))
 
 
 def dedup_stream(df: DataFrame, key: str = "tx_uuid", delay: str = "10 minutes",
