@@ -178,12 +178,12 @@ def log_model_run(spark: SparkSession, path: str, rows: DataFrame) -> int:
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Training metadata JSON, tolerant: a missing or malformed file gives no rows."""
-    schema = T.StructType([T.StructField("trained_at", T.StringType()),
-                           T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
-                           T.StructField("_corrupt_record", T.StringType())])
+    fields = [T.StructField("trained_at", T.StringType()),
+              T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()))]
+    schema = T.StructType(fields + [T.StructField("_corrupt_record", T.StringType())])
     try:
         df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
               .option("multiLine", "true").json(path))
-    except Exception:  # noqa: BLE001
-        return spark.createDataFrame([], schema.fields[0:2] and T.StructType(schema.fields[0:2]))
+    except Exception:  # noqa: BLE001 - missing file: no rows
+        return spark.createDataFrame([], T.StructType(fields))
     return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
