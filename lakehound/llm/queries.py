@@ -10,9 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehound.llm import quality, sharding, urlfilter
+from lakehound.llm import decontam, langid, quality, sharding, urlfilter
 from lakehound.llm import sql as S
 from lakehound.llm.linededup import line_dedup_digest
+from lakehound.llm.shared import code_on_workers
 
 #: The URL rules of op 1.
 URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -32,6 +33,7 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    code_on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -54,3 +56,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_sharding")
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_root(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def code_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed where the package is not installed (``--py-files`` does it on a cluster): workers
+    started from another folder would not find it.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
