@@ -29,13 +29,11 @@ BLOCKS = 8
 #: Benchmark text that one pass over the documents takes to the tasks; a larger benchmark goes in several passes.
 PASS_BYTES = 16 << 20
 
-_APART = W.IS_SPACE.copy()
-_APART[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _BITS = np.arange(64, dtype=np.uint64)
 
 
 def _words(text: W.Text) -> tuple[W.Words, np.ndarray]:
-    words = W.split(text, _APART)
+    words = W.split(text, W.IS_APART)
     return words, W.spans_hash(W.LOWER[text.data], words.starts, words.ends)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakehound.llm import words as W
 
 #: The sample of a language: at most so many documents, bytes of each, and bytes in all.
-SAMPLE_DOCS, SAMPLE_DOC_BYTES, SAMPLE_BYTES = 48, 2048, 32768
+SAMPLE_DOCS, SAMPLE_DOC_BYTES, SAMPLE_BYTES = 96, 1024, 65536
 #: Symbols of a block; a phrase ends with its block.
 BLOCK = 512
 UNDETERMINED = "und"

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehound.llm import decontam, langid, quality, sharding, urlfilter
+from lakehound.llm import decontam, langid, quality, sharding, toxicity, urlfilter
 from lakehound.llm import sql as S
 from lakehound.llm.linededup import line_dedup_digest
 from lakehound.llm.shared import code_on_workers
@@ -66,3 +66,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_decontamination")
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

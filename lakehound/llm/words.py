@@ -20,6 +20,9 @@ SHINGLE_WORDS = 5
 #: ASCII white space of every contract here: blank, \t \n \v \f \r.
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: White space and ASCII punctuation, for operators that compare bare words.
+IS_APART = IS_SPACE.copy()
+IS_APART[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 #: A-Z to a-z, all other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
