@@ -1,11 +1,12 @@
 """Op 5: packing documents along a Hilbert curve.
 
 A document's token ids are projected to DIMENSIONS numbers (sums of hashed
-signs, by the root of the tokens); their place on a Hilbert curve is its key.
-Range-sorted by that key, neighbours on the curve stand next to each other, and
-the run of all tokens is cut every LENGTH ids: only the last sequence is short.
-A partition numbers its own tokens; the partitions' totals, summed in order,
-give where each begins, so no task sees more than its share.
+signs, by the tokens); their place on a Hilbert curve, with some bits of a hash
+of doc_id below it, is its key. Ranges of keys, balanced on a sample, are sorted
+each in its task, so neighbours on the curve stand next to each other, and the
+run of all tokens is cut every LENGTH ids: only the last sequence is short. A
+range numbers its own tokens; the ranges' totals, summed in order, give where
+each begins, so no task sees more than its share.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +26,11 @@ from lakehound.llm.shared import saved
 
 LENGTH = 2048
 END_ID = 1
-DIMENSIONS, BITS = 4, 15
+DIMENSIONS, BITS, SCALE = 4, 12, 4.0
+#: Bits below the curve's that deal equal documents out to several ranges.
+TIE_BITS = 15
+#: Documents whose keys balance the ranges (about), and ranges for each shuffle partition.
+SAMPLE_DOCS, RANGES = 8192, 4
 #: Different text pieces whose ids a worker remembers.
 CACHE_PIECES = 400_000
 
@@ -130,36 +134,45 @@ def _curve_keys(ids: np.ndarray, first: np.ndarray, signs: np.ndarray) -> np.nda
         total = np.zeros(len(ids) + 1)
         np.cumsum(signs[d][ids], out=total[1:])
         mean = (total[first[1:]] - total[first[:-1]]) / np.maximum(counts, 1)
-        points[:, d] = np.clip((mean + 1) / 2 * ((1 << BITS) - 1), 0, (1 << BITS) - 1).astype(np.int64)
+        points[:, d] = np.clip((SCALE * mean + 1) / 2 * ((1 << BITS) - 1), 0, (1 << BITS) - 1).astype(np.int64)
     return hilbert(points)
 
 
 _pieces: dict[str, Pieces] = {}
 
 
-def _tokenized(path: str):
+def _tokenized(path: str, bounds: np.ndarray):
+    """doc_id, the range of the key, the key, tokens and ids of rows (doc_id, text, tie)."""
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _pieces:
             _pieces[path] = Pieces(path)
         own = _pieces[path]
         for batch, text in W.slices(batches, "text"):
             ids, first = own.ids(text)
-            keys = _curve_keys(ids, first, own.signs)
+            keys = _curve_keys(ids, first, own.signs) << TIE_BITS | batch.column("tie").to_numpy(zero_copy_only=False)
             small = np.insert(ids, first[1:], END_ID).astype("<u2" if own.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
             ends = first + np.arange(len(first))
             lists = pa.Array.from_buffers(pa.large_binary(), len(keys), [None, pa.py_buffer((ends * small.itemsize).astype(np.int64)), pa.py_buffer(small)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys), pa.array(np.diff(ends)), lists.cast(pa.binary())], names=["doc_id", "curve", "doc_tokens", "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.searchsorted(bounds, keys, side="right").astype(np.int32)), pa.array(keys),
+                 pa.array(np.diff(ends)), lists.cast(pa.binary())], names=["doc_id", "part", "key", "doc_tokens", "ids"])
     return tokenize
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, begin = TaskContext.get().partitionId(), 0
+    """Add ``local``, the tokens of the same range before a row; rows come sorted by range."""
+    last, begin = None, 0
     for batch in batches:
-        tokens = batch.column("doc_tokens").to_numpy()
-        ends = np.cumsum(tokens) + begin
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(tokens), part, np.int32)), pa.array(ends - tokens)],
-                                         names=[*batch.schema.names, "part", "local"])
-        begin = int(ends[-1]) if len(ends) else begin
+        part, tokens = batch.column("part").to_numpy(), batch.column("doc_tokens").to_numpy()
+        local = np.cumsum(tokens) - tokens
+        heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
+        back = np.repeat(local[heads], np.diff(np.append(heads, len(part))))
+        local = local - back
+        if len(part) and part[0] == last:
+            local[:heads[1] if len(heads) > 1 else len(part)] += begin
+        if len(part):
+            last, begin = part[-1], int(local[-1] + tokens[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(local)], names=[*batch.schema.names, "local"])
 
 
 def _cut(width: int, length: int):
@@ -189,12 +202,12 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
 
     ``tokenizer`` is the path of a byte-level BPE file of the tokenizers library, at the same place on
     every executor. Null texts are empty; every document ends with END_ID, so it has a piece. Equal
-    texts have equal keys; ties go by a hash of doc_id, then doc_id; repeated rows are packed each.
+    texts have equal keys; ties go by bits of a hash of doc_id, then doc_id; repeated rows are packed each.
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     """
     table = pieces_table(docs, tokenizer)
     totals = table.groupBy("part").agg((F.max(F.col("local") + F.col("doc_tokens"))).alias("tokens"))
-    # one row a partition: a running sum over a list as long as the number of tasks
+    # one row a range: a running sum over a list about as long as the number of tasks
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = totals.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("begin"))
     rows = table.join(F.broadcast(begins), "part").select("doc_id", "ids", "doc_tokens", (F.col("begin") + F.col("local")).alias("at"))
@@ -206,10 +219,20 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
 
 def pieces_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, ids (binary) and each document's place in its partition of the sorted run, as a written table."""
-    rows = docs.select("doc_id", "text")
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("curve", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    tokens = rows.mapInArrow(_tokenized(tokenizer), schema)
-    order = ["curve", F.xxhash64("doc_id"), "doc_id"]
-    sorted_ = tokens.repartitionByRange(*order).sortWithinPartitions(*order).drop("curve")
-    placed = T.StructType([*sorted_.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("local", T.LongType())])
+    spark = docs.sparkSession
+    tie = F.pmod(F.xxhash64(F.lit("tie"), F.col("doc_id")), F.lit(1 << TIE_BITS))
+    rows = docs.select("doc_id", "text", tie.alias("tie"))
+    fields = [rows.schema["doc_id"], T.StructField("part", T.IntegerType()), T.StructField("key", T.LongType()),
+              T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    # the sample decides only how even the ranges are; every row is placed by its own key
+    share = SAMPLE_DOCS / max(1, docs.count())
+    some = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    weights = [x / ranges for x in range(1, ranges)]
+    bounds = some.mapInArrow(_tokenized(tokenizer, np.zeros(0, np.int64)), T.StructType(fields)).select(
+        F.percentile("key", F.array(*map(F.lit, weights))).alias("b")).first().b if weights else None
+    bounds = np.unique(np.array(bounds or [], dtype=np.float64)).astype(np.int64)
+    tokens = rows.mapInArrow(_tokenized(tokenizer, bounds), T.StructType(fields))
+    sorted_ = tokens.repartition("part").sortWithinPartitions("part", "key", "doc_id").drop("key")
+    placed = T.StructType([*sorted_.schema.fields, T.StructField("local", T.LongType())])
     return saved(sorted_.mapInArrow(_placed, placed), "packing")
