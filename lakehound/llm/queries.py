@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehound.llm import decontam, langid, neardup, packing, quality, sharding, toxicity, urlfilter
+from lakehound.llm import decontam, langid, licenses, neardup, packing, quality, sharding, toxicity, urlfilter
 from lakehound.llm import sql as S
 from lakehound.llm.linededup import line_dedup_digest
 from lakehound.llm.shared import code_on_workers
@@ -82,3 +82,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top, deleted together with this subpackage
+    return corpus_pipeline.run(spark, sf_dir)
