@@ -11,8 +11,10 @@ each begins, so no task sees more than its share.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,64 +34,99 @@ TIE_BITS = 15
 #: Documents whose keys balance the ranges (about), and ranges for each shuffle partition.
 SAMPLE_DOCS, RANGES = 8192, 4
 #: Different text pieces whose ids a worker remembers.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
+_ENCODED_AT_ONCE = 4096
 
-#: A piece starts at a blank before a byte that is surely no white space: there every byte-level BPE token starts anew.
+#: Pieces start where no token of a byte-level BPE can reach across: at a blank before a byte that is surely no white
+#: space, after an ASCII letter before an ASCII byte that is none, and before an ASCII letter after an ASCII byte that is
+#: no letter, blank or apostrophe.
 _SURE = np.ones(256, dtype=bool)
 _SURE[:33] = False
 _SURE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_OTHER = np.zeros(256, dtype=bool)
+_OTHER[:128] = ~_LETTER[:128]
+_ENDS = _OTHER.copy()
+_ENDS[[32, 39]] = False
 
 
 class Pieces:
     """Token ids of texts by their pieces: each different piece is encoded once and remembered."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self._special = [t.encode() for t in (x.content for x in self.tokenizer.get_added_tokens_decoder().values()) if b" " in t.encode()]
+        self.added = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.signs = _signs(self.tokenizer.get_vocab_size())
         self._clear()
 
-    def _clear(self) -> None:
-        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+    def _clear(self, stay: np.ndarray | None = None) -> None:
+        """Forget all pieces but those at the places ``stay``."""
+        if stay is None or not len(stay):
+            self.keys, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+            self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.pool = np.zeros(0, np.uint32)
+            return
+        count, first = self.count[stay], self.first[stay]
+        begin = np.append(0, np.cumsum(count))
+        self.pool = self.pool[np.repeat(first - begin[:-1], count) + np.arange(begin[-1])]
+        self.keys, self.first, self.count = self.keys[stay], begin[:-1], count
+        self.used = np.zeros(len(stay), np.int32)
 
     def ids(self, text: W.Text) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and where each row's begin."""
         data, n = text.data, len(text.data)
         start = np.zeros(n + 1, dtype=bool)
         start[:-1][1:] = (data[1:] == 32) & np.append(_SURE[data[2:]], False)[:max(n - 1, 0)]
+        start[1:-1] |= _LETTER[data[:-1]] & _OTHER[data[1:]] | _ENDS[data[:-1]] & _LETTER[data[1:]]
+        raw = data.tobytes()
+        for token in self.added:  # an added token's own string is one piece
+            at = raw.find(token)
+            while at >= 0:
+                start[at + 1:at + len(token)] = False
+                start[[at, at + len(token)]] = True
+                at = raw.find(token, at + len(token))
         start[text.offsets] = True
         starts = np.flatnonzero(start[:n])
         ends = np.append(starts[1:], n)
         keys = W.spans_hash(data, starts, ends)
         different, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        at = self._remembered(different, data, starts[where], ends[where])[back]
+        at = self._remembered(different, raw, starts[where], ends[where])[back]
         lengths = self.count[at]
         begin = np.zeros(len(at) + 1, dtype=np.int64)
         np.cumsum(lengths, out=begin[1:])
         flat = self.pool[np.repeat(self.first[at] - begin[:-1], lengths) + np.arange(begin[-1])]
         return flat, begin[np.searchsorted(starts, text.offsets)]
 
-    def _remembered(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _remembered(self, keys: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Places of sorted ``keys`` in the cache, which learns the missing ones."""
         if len(self.keys) + len(keys) > CACHE_PIECES:
-            self._clear()
+            again = np.flatnonzero(self.used > 1)
+            self._clear(again if 2 * len(again) < CACHE_PIECES else None)
         at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         new = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), dtype=bool)
         if new.any():
-            raw = data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            count = np.array([len(x) for x in lists], dtype=np.int64)
+            lists = self._encoded(raw, starts[new].tolist(), ends[new].tolist())
+            count = np.fromiter(map(len, lists), np.int64, len(lists))
             first = len(self.pool) + np.append(0, np.cumsum(count)[:-1])
-            self.pool = np.append(self.pool, np.array([i for x in lists for i in x], dtype=np.uint32))
+            self.pool = np.append(self.pool, np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum())))
             every = np.append(self.keys, keys[new])
             order = np.argsort(every, kind="stable")
             self.keys = every[order]
             self.first, self.count = np.append(self.first, first)[order], np.append(self.count, count)[order]
+            self.used = np.append(self.used, np.zeros(len(count), np.int32))[order]
             at = np.searchsorted(self.keys, keys)
+        self.used[at] += 1
         return at
 
+    def _encoded(self, raw: bytes, starts: list[int], ends: list[int]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for k in range(0, len(starts), _ENCODED_AT_ONCE):
+            texts = [raw[a:b].decode() for a, b in zip(starts[k:k + _ENCODED_AT_ONCE], ends[k:k + _ENCODED_AT_ONCE], strict=True)]
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return out
+
 
 def _signs(vocabulary: int) -> np.ndarray:
     h = W.mix(np.arange(1, vocabulary + 1, dtype=np.uint64))
