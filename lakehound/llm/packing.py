@@ -39,7 +39,7 @@ _ENCODED_AT_ONCE = 4096
 
 #: Pieces start where no token of a byte-level BPE can reach across: at a blank before a byte that is surely no white
 #: space, after an ASCII letter before an ASCII byte that is none, and before an ASCII letter after an ASCII byte that is
-#: no letter, blank or apostrophe.
+#: no letter, white space (what follows decides how a run of it is cut) or apostrophe.
 _SURE = np.ones(256, dtype=bool)
 _SURE[:33] = False
 _SURE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
@@ -48,7 +48,8 @@ _LETTER[65:91] = _LETTER[97:123] = True
 _OTHER = np.zeros(256, dtype=bool)
 _OTHER[:128] = ~_LETTER[:128]
 _ENDS = _OTHER.copy()
-_ENDS[[32, 39]] = False
+_ENDS[:33] = False
+_ENDS[39] = False
 
 
 class Pieces:
