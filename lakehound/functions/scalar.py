@@ -5,18 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that decide results (congestion level limits, simulator factors).
+# Fixed values that decide results (congestion level limits, units).
 # Speed limits for the congestion level, km/h: below 12 congested (2), below 24 slow (1).
 CONGESTED_BELOW = 12.0
 SLOW_BELOW = 24.0
-# Rush hours and the hour factors of the synthetic speed model.
-RUSH_HOURS = (7, 8, 9, 17, 18, 19)
-SHOULDER_HOURS = (6, 10, 16, 20)
-NIGHT_HOURS = (0, 1, 2, 3, 4)
-RUSH_FACTOR = 0.50
-SHOULDER_FACTOR = 0.7
-NIGHT_FACTOR = 1.1
-MIN_SPEED_KMH = 3.0
 MPH_TO_KMH = 1.60934
 EARTH_RADIUS_M = 6371000.0
 
@@ -66,11 +58,11 @@ def from_millis(c) -> Column:
 
 
 def congestion_level(speed) -> Column:
-    """2 below 12 km/h, 1 below 24 km/h, else 0 (NULL speed stays NULL)."""
+    """2 below 12 km/h, 1 below 24 km/h, else 0, also for a NULL speed."""
     s = _c(speed)
     return (F.when(s < CONGESTED_BELOW, F.lit(2))
             .when(s < SLOW_BELOW, F.lit(1))
-            .when(s.isNotNull(), F.lit(0)))
+            .otherwise(F.lit(0)))
 
 
 def decision(p, threshold: float = 0.5) -> Column:
@@ -112,20 +104,6 @@ def row_id(*cols) -> Column:
     return F.sha2(F.concat_ws("\u0001", *[_c(c).cast("string") for c in cols]), 256)
 
 
-def hour_factor(hour) -> Column:
-    """time-of-day speed factor of the synthetic traffic model."""
-    h = _c(hour)
-    return (F.when(h.isin(*RUSH_HOURS), F.lit(RUSH_FACTOR))
-            .when(h.isin(*SHOULDER_HOURS), F.lit(SHOULDER_FACTOR))
-            .when(h.isin(*NIGHT_HOURS), F.lit(NIGHT_FACTOR))
-            .otherwise(F.lit(1.0)))
-
-
-def link_factor(link) -> Column:
-    """stable per-link factor 0.55 .. 1.0 from the CRC-32 of the link id."""
-    return F.lit(0.55) + F.lit(0.45) * ((F.crc32(_c(link).cast("binary")) % 1000) / F.lit(1000.0))
-
-
 def clamp(c, lo: float, hi: float) -> Column:
     """limit a value to [lo, hi]."""
     return F.least(F.greatest(_c(c), F.lit(lo)), F.lit(hi))

@@ -51,14 +51,17 @@ def last_not_null(df: DataFrame, t: str, v: str, name: str | None = None) -> Dat
 
 
 def to_series(df: DataFrame, time: str, key: str, value: str, keys: Sequence[str],
-              fill=None) -> DataFrame:
+              fill=None, other: str = "other") -> DataFrame:
     """Long (time, key, value) to one column per key value.
 
     The key values are passed in, so the pivot needs no extra distinct pass.
+    Values of all other keys, NULL too, are summed in the column ``other``.
     """
-    out = df.groupBy(time).pivot(key, list(keys)).agg(F.first(F.col(value)))
+    names = [*keys, other]
+    known = F.when(F.col(key).isin(list(keys)), F.col(key)).otherwise(F.lit(other))
+    out = df.withColumn(key, known).groupBy(time).pivot(key, names).agg(F.sum(F.col(value)))
     if fill is not None:
-        out = out.fillna(fill, subset=list(keys))
+        out = out.fillna(fill, subset=names)
     return out.orderBy(time)
 
 

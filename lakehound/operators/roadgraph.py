@@ -11,31 +11,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakehound.functions import geo
-from lakehound.functions.scalar import (MIN_SPEED_KMH, RUSH_HOURS, hour_factor, link_factor,
-                                        link_id as make_link_id, parse_highway, parse_maxspeed)
+from lakehound.functions.scalar import link_id as make_link_id, parse_highway, parse_maxspeed
 from lakehound.operators.dedup import first_by_key
 from lakehound.operators.sizing import broadcast_if_small
 
-# Per road type the default max speed (km/h) when the edge has
-# none, and the rush-hour speed factor of the traffic model.
-# (road type, default max speed, rush factor)
+# Per road type the default max speed (km/h) when the edge has none.
 ROAD_TYPES = [
-    ("motorway", 100.0, 0.70),
-    ("motorway_link", 60.0, 0.70),
-    ("trunk", 60.0, 0.65),
-    ("trunk_link", 50.0, 0.65),
-    ("primary", 60.0, 0.60),
-    ("primary_link", 50.0, 0.60),
-    ("secondary", 50.0, 0.68),
-    ("secondary_link", 40.0, 0.68),
-    ("tertiary", 40.0, 0.78),
-    ("tertiary_link", 40.0, 0.78),
-    ("residential", 40.0, 0.92),
-    ("unclassified", 40.0, 0.86),
-    ("service", 30.0, 0.95),
+    ("motorway", 100.0),
+    ("motorway_link", 60.0),
+    ("trunk", 60.0),
+    ("trunk_link", 50.0),
+    ("primary", 60.0),
+    ("primary_link", 50.0),
+    ("secondary", 50.0),
+    ("secondary_link", 40.0),
+    ("tertiary", 40.0),
+    ("tertiary_link", 40.0),
+    ("residential", 40.0),
+    ("unclassified", 40.0),
+    ("service", 30.0),
 ]
 DEFAULT_MAXSPEED = 40.0
-DEFAULT_RUSH = 0.7
 
 
 def _lookup(rt: Column, idx: int, default: float) -> Column:
@@ -49,16 +45,9 @@ def default_maxspeed(road_type) -> Column:
     return _lookup(rt, 1, DEFAULT_MAXSPEED)
 
 
-def rush_factor(road_type) -> Column:
-    """Rush-hour factor per road type, else 0.7."""
-    rt = F.col(road_type) if isinstance(road_type, str) else road_type
-    return _lookup(rt, 2, DEFAULT_RUSH)
-
-
 def road_type_dim(spark: SparkSession) -> DataFrame:
     """The road-type constants as a 13-row dimension table."""
-    return spark.createDataFrame(ROAD_TYPES, "road_type string, default_maxspeed double, "
-                                             "rush_factor double")
+    return spark.createDataFrame(ROAD_TYPES, "road_type string, default_maxspeed double")
 
 
 def with_road_type_constants(df: DataFrame, spark: SparkSession,
@@ -66,10 +55,7 @@ def with_road_type_constants(df: DataFrame, spark: SparkSession,
     """Broadcast left join of the road-type constants, defaults for unknown types."""
     dim = F.broadcast(road_type_dim(spark)).withColumnRenamed("road_type", "_rt")
     j = df.join(dim, F.col(road_type) == F.col("_rt"), "left").drop("_rt")
-    return j.withColumns({
-        "default_maxspeed": F.coalesce("default_maxspeed", F.lit(DEFAULT_MAXSPEED)),
-        "rush_factor": F.coalesce("rush_factor", F.lit(DEFAULT_RUSH)),
-    })
+    return j.withColumn("default_maxspeed", F.coalesce("default_maxspeed", F.lit(DEFAULT_MAXSPEED)))
 
 
 def edges_with_geometry(raw: DataFrame, nodes: DataFrame, max_nodes: int = 5_000_000) -> DataFrame:
@@ -138,35 +124,3 @@ def link_geo(edges: DataFrame) -> DataFrame:
         mb["bearing"].alias("bearing"))
 
 
-def expected_speed_expr(maxspeed, road_type, hour, link) -> Column:
-    """G7 per row: max speed x hour factor x (rush: type factor) x link factor, floor 3 km/h."""
-    h = F.col(hour) if isinstance(hour, str) else hour
-    f = hour_factor(h) * link_factor(link)
-    f = F.when(h.isin(*RUSH_HOURS), f * rush_factor(road_type)).otherwise(f)
-    ms = F.col(maxspeed) if isinstance(maxspeed, str) else maxspeed
-    return F.greatest(F.lit(MIN_SPEED_KMH), ms * f)
-
-
-def expected_speed(links: DataFrame) -> DataFrame:
-    """Expected speed per link and hour of day (noise 1).
-
-    Each link row is expanded to its 24 hours with ``explode(sequence)``, a
-    per-row generator, so no join is needed.
-    """
-    hours = links.select("link_id", "road_type", "maxspeed",
-                         F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
-    return hours.withColumn("expected_kmh",
-                            expected_speed_expr("maxspeed", "road_type", "hour", "link_id"))
-
-
-def speed_gap(pos: DataFrame, links: DataFrame) -> DataFrame:
-    """Observed mean speed per link and hour next to the expected speed.
-
-    Observations are aggregated first (partial aggregation), then joined to
-    the expected table on (link_id, hour): both sides have one row per key.
-    """
-    obs = (pos.groupBy("link_id", F.col("sim_hour").alias("hour"))
-           .agg(F.avg("speed_kmh").alias("observed_kmh"), F.count(F.lit(1)).alias("n")))
-    exp = expected_speed(links).select("link_id", "hour", "expected_kmh")
-    return (obs.join(exp, ["link_id", "hour"], "inner")
-            .withColumn("gap_kmh", F.col("observed_kmh") - F.col("expected_kmh")))

@@ -15,7 +15,7 @@ from lakehound.schemas import TRANSACTIONS
 from lakehound.session import shared_dir
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
-from lakehound.streaming.changes import FRAUD_RULES, ROAD_RULES, cdc_unwrap
+from lakehound.streaming.changes import FRAUD_RULES, ROAD_RULES, cdc_unwrap, change_order
 
 
 def rule_report(df: DataFrame, rules: dict[str, str]) -> DataFrame:
@@ -43,28 +43,32 @@ def validation_report_positions(spark, sf_dir):
 
 
 def change_envelopes(tx: DataFrame) -> DataFrame:
-    """Change log of the transactions table as CDC envelopes (JSON ``value``).
+    """Change log of the transactions table as CDC envelopes (JSON ``value``, ``_offset``).
 
-    Every row is created; every 5th is then updated (amount + 1); every 11th
-    is deleted; every 13th key also gets a tombstone (NULL value).
+    Every row is created. Every 7th is updated in the same millisecond (only the offset
+    tells the order), every 5th a second later, every 10th again to a smaller amount;
+    every 11th is deleted and every 22nd created anew; every 13th key gets a tombstone.
     """
     fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    row = F.struct(*[F.col(c) for c in TRANSACTIONS.fieldNames()])
-    upd = F.struct(*[(F.col(c) + 1).alias(c) if c == "amount" else F.col(c)
-                     for c in TRANSACTIONS.fieldNames()])
+    amount = F.col("amount")
     ms = F.unix_millis(F.col("created_at").cast("timestamp"))
     none = F.lit(None).cast(TRANSACTIONS)
-    create = tx.select(F.to_json(F.struct(none.alias("before"), row.alias("after"),
-                                          F.lit("c").alias("op"), ms.alias("ts_ms")), fmt)
-                       .alias("value"))
-    update = tx.filter(F.col("id") % 5 == 0).select(F.to_json(F.struct(
-        row.alias("before"), upd.alias("after"), F.lit("u").alias("op"),
-        (ms + 1000).alias("ts_ms")), fmt).alias("value"))
-    delete = tx.filter(F.col("id") % 11 == 0).select(F.to_json(F.struct(
-        F.when(F.col("id") % 5 == 0, upd).otherwise(row).alias("before"), none.alias("after"),
-        F.lit("d").alias("op"), (ms + 2000).alias("ts_ms")), fmt).alias("value"))
-    tomb = tx.filter(F.col("id") % 13 == 0).select(F.lit(None).cast("string").alias("value"))
-    return create.unionByName(update).unionByName(delete).unionByName(tomb)
+
+    def row(value):
+        return F.struct(*[value.alias(c) if c == "amount" else F.col(c) for c in TRANSACTIONS.fieldNames()])
+
+    def change(every, step, op, later, before, after):
+        body = F.struct(before.alias("before"), after.alias("after"), F.lit(op).alias("op"), (ms + later).alias("ts_ms"))
+        return tx.filter(F.col("id") % every == 0).select(F.to_json(body, fmt).alias("value"), (F.col("id") * 10 + step).alias("_offset"))
+
+    log = [change(1, 0, "c", 0, none, row(amount)), change(7, 1, "u", 0, row(amount), row(amount + 0.5)),
+           change(5, 2, "u", 1000, row(amount), row(amount + 1)), change(10, 3, "u", 1500, row(amount + 1), row(amount - 3)),
+           change(11, 4, "d", 2000, row(amount), none), change(22, 5, "c", 3000, none, row(amount * 2)),
+           tx.filter(F.col("id") % 13 == 0).select(F.lit(None).cast("string").alias("value"), (F.col("id") * 10 + 6).alias("_offset"))]
+    out = log[0]
+    for part in log[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def _change_log(spark, sf_dir) -> DataFrame:
@@ -75,26 +79,27 @@ def _change_log(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@register("cdc_current_drop_deletes", fraud("""
-SELECT tx_uuid, CASE WHEN id % 5 = 0 THEN amount + 1 ELSE amount END AS amount,
-  CASE WHEN id % 5 = 0 THEN 'u' ELSE 'c' END AS op
+_NEWEST = """CASE WHEN id % 22 = 0 THEN amount * 2 WHEN id % 10 = 0 THEN amount - 3
+  WHEN id % 5 = 0 THEN amount + 1 WHEN id % 7 = 0 THEN amount + 0.5 ELSE amount END AS amount"""
+
+
+@register("cdc_current_drop_deletes", fraud(f"""
+SELECT tx_uuid, {_NEWEST},
+  CASE WHEN id % 22 = 0 THEN 'c' WHEN id % 5 = 0 OR id % 7 = 0 THEN 'u' ELSE 'c' END AS op
 FROM transactions"""))
 def cdc_current_drop_deletes(spark, sf_dir):
     """S3 default: deletes and tombstones dropped, so deleted rows keep their last image."""
-    rows = cdc_unwrap(_change_log(spark, sf_dir), TRANSACTIONS).withColumn(
-        "_v", F.when(F.col("op") == "u", 1).otherwise(0))
-    cur = latest_by_key(rows, ["tx_uuid"], [F.col("_v").desc(), F.col("amount").desc()])
-    return cur.select("tx_uuid", "amount", "op")
+    rows = cdc_unwrap(_change_log(spark, sf_dir), TRANSACTIONS)
+    return latest_by_key(rows, ["tx_uuid"], change_order()).select("tx_uuid", "amount", "op")
 
 
-@register("cdc_current_flag_deletes", fraud("""
-SELECT tx_uuid, CASE WHEN id % 5 = 0 THEN amount + 1 ELSE amount END AS amount
-FROM transactions WHERE id % 11 <> 0"""))
+@register("cdc_current_flag_deletes", fraud(f"""
+SELECT tx_uuid, {_NEWEST}
+FROM transactions WHERE id % 11 <> 0 OR id % 22 = 0"""))
 def cdc_current_flag_deletes(spark, sf_dir):
     """S3 ``flag``: deletes kept as flagged rows; after the versioned read they are removed."""
-    rows = cdc_unwrap(_change_log(spark, sf_dir), TRANSACTIONS, deletes="flag").withColumn(
-        "_v", F.when(F.col("op") == "d", 2).when(F.col("op") == "u", 1).otherwise(0))
-    cur = latest_by_key(rows, ["tx_uuid"], [F.col("_v").desc()])
+    rows = cdc_unwrap(_change_log(spark, sf_dir), TRANSACTIONS, deletes="flag")
+    cur = latest_by_key(rows, ["tx_uuid"], change_order())
     return cur.filter(~F.col("is_deleted")).select("tx_uuid", "amount")
 
 

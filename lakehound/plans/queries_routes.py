@@ -141,20 +141,3 @@ def q_route_point_after_minute(spark, sf_dir):
     e = geo.with_point_at(e, "poly", F.col("speed_kmh") * 1000.0 / 60.0, "_p")
     return e.select("link_id", F.round(F.col("_p.lat"), 7).alias("lat"),
                     F.round(F.col("_p.lon"), 7).alias("lon"))
-
-
-@register("route_expected_speed")
-def q_route_expected_speed(spark, sf_dir):
-    """G7 over the route links (CRC-32 is not available in the SQL oracle)."""
-    _, _, e = _edges(spark, sf_dir)
-    return G.expected_speed(e.select("link_id", "road_type", "maxspeed"))
-
-
-@register("speed_gap")
-def q_speed_gap(spark, sf_dir):
-    """Observed mean speed per link and hour against the expected speed."""
-    t = Tables(spark, sf_dir)
-    pos = X.vehicle_positions(t)
-    links = pos.groupBy("link_id").agg(F.min("road_type").alias("road_type"),
-                                       F.max("maxspeed").alias("maxspeed"))
-    return G.speed_gap(pos, links)

@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from lakehound.operators.dedup import latest_by_key
 from lakehound.plans.training import TrainResult, save_model
@@ -41,14 +42,16 @@ CHAMPION, CHALLENGER = "champion", "challenger"
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return dt.datetime.now(dt.timezone.utc)
 
 
 def _table(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
     path = os.path.join(root, name)
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - missing table reads as empty (S17 tolerant read)
+    except AnalysisException as ex:  # only a table not yet written reads as empty
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -83,7 +86,8 @@ def register_model(spark: SparkSession, root: str, name: str, result: TrainResul
     """Save the model, log the run and add version n+1."""
     run_id = uuid.uuid4().hex
     version = newest_version(spark, root, name) + 1
-    path = save_model(result.model, os.path.join(root, "artifacts", name, f"v{version}"))
+    # the path is the run's own, so two registrations at once never share an artifact
+    path = save_model(result.model, os.path.join(root, "artifacts", name, run_id))
     now = _now()
     m = result.metrics
     metric = m.get(metric_name)
@@ -115,35 +119,36 @@ def metric_for_alias(spark: SparkSession, root: str, name: str, alias: str) -> D
     return a.join(v, ["name", "version"], "left").join(r, "run_id", "left")
 
 
-def promote(spark: SparkSession, root: str, name: str, promote_on_tie: bool = True) -> dict:
-    """champion/challenger gate.
+#: The metric of a run without one (X10): below every real metric.
+NO_METRIC = -1.0
+
+
+def gate(candidates: DataFrame, promote_on_tie: bool = True) -> DataFrame:
+    """The gate's verdict for rows of (challenger, challenger_metric, champion, champion_metric).
 
-    no challenger -> stop; same version -> keep; no champion -> promote;
-    better -> promote; tie -> promote when ``promote_on_tie``; else keep.
-    A missing metric counts as -1.0 (X10).
+    Adds ``decision`` (stop, keep or promote) and ``reason``; versions are NULL where an alias is unset.
     """
-    chal = metric_for_alias(spark, root, name, CHALLENGER).first()
-    if chal is None:
-        return {"decision": "stop", "reason": "no challenger"}
-    champ = metric_for_alias(spark, root, name, CHAMPION).first()
-    c_metric = -1.0 if chal["metric"] is None else float(chal["metric"])
-    out = {"challenger": chal["version"], "challenger_metric": c_metric}
-    if champ is not None and champ["version"] == chal["version"]:
-        return {**out, "decision": "keep", "reason": "challenger is champion",
-                "champion": champ["version"]}
-    if champ is None:
-        decision, reason = True, "no champion yet"
-    else:
-        h_metric = -1.0 if champ["metric"] is None else float(champ["metric"])
-        out.update(champion=champ["version"], champion_metric=h_metric)
-        if c_metric > h_metric or (promote_on_tie and c_metric == h_metric):
-            decision, reason = True, f"challenger {c_metric} >= champion {h_metric}"
-        else:
-            decision, reason = False, f"challenger {c_metric} < champion {h_metric}"
-    if decision:
-        set_alias(spark, root, name, CHAMPION, chal["version"])
-        return {**out, "decision": "promote", "reason": reason}
-    return {**out, "decision": "keep", "reason": reason}
+    new, old = (F.coalesce(F.col(f"{side}_metric"), F.lit(NO_METRIC)) for side in (CHALLENGER, CHAMPION))
+    case = (F.when(F.col(CHALLENGER).isNull(), "stop: nothing to judge")
+            .when(F.col(CHAMPION).isNull(), "promote: first of its name")
+            .when(F.col(CHAMPION) == F.col(CHALLENGER), "keep: both aliases name one version")
+            .when(new > old, "promote: higher metric")
+            .when(new < old, "keep: lower metric")
+            .otherwise("promote: equal metric" if promote_on_tie else "keep: equal metric"))
+    parts = F.split(case, ": ")
+    return candidates.withColumn("decision", parts[0]).withColumn("reason", parts[1])
+
+
+def promote(spark: SparkSession, root: str, name: str, promote_on_tie: bool = True) -> dict:
+    """Judge the challenger of ``name`` against its champion and, if it wins, move the champion alias."""
+    sides = [metric_for_alias(spark, root, name, alias).select(
+        F.col("version").alias(alias), F.col("metric").alias(f"{alias}_metric"), F.lit(name).alias("name"))
+        for alias in (CHALLENGER, CHAMPION)]
+    one = spark.createDataFrame([(name,)], "name string")
+    verdict = gate(one.join(sides[0], "name", "left").join(sides[1], "name", "left"), promote_on_tie).first().asDict()
+    if verdict["decision"] == "promote":
+        set_alias(spark, root, name, CHAMPION, verdict[CHALLENGER])
+    return verdict
 
 
 def registry_view(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -166,7 +171,9 @@ def log_model_run(spark: SparkSession, path: str, rows: DataFrame) -> int:
     try:
         have = spark.read.parquet(path).select("model_version")
         new = rows.join(have, "model_version", "left_anti")
-    except Exception:  # noqa: BLE001 - first run: nothing logged yet
+    except AnalysisException as ex:  # first run: nothing logged yet
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         new = rows
     new = new.cache()
     n = new.count()
@@ -184,6 +191,8 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     try:
         df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
               .option("multiLine", "true").json(path))
-    except Exception:  # noqa: BLE001 - missing file: no rows
+    except AnalysisException as ex:  # missing file: no rows
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], T.StructType(fields))
     return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")

@@ -54,7 +54,7 @@ def _attr(keys, kind: str, name: str) -> Column:
     return F.try_element_at(hit, F.lit(1))["_VALUE"]
 
 
-def read_graphml(spark: SparkSession, path: str, directed: bool | None = True):
+def read_graphml(spark: SparkSession, path: str, directed: bool | None = None):
     """Nodes and edges of a GraphML road graph.
 
     Nodes need both ``x`` (lon) and ``y`` (lat); edges need both ends among

@@ -24,8 +24,9 @@ def read_change_stream(spark: SparkSession, source: dict) -> DataFrame:
                .option("subscribe", source["topic"])
                .option("startingOffsets", source.get("starting", "earliest"))
                .load())
-        return raw.select(F.col("value").cast("string").alias("value"),
-                          F.col("offset").alias("_offset"))
+        return raw.select(F.col("value").cast("string").alias("value"), F.col("topic").alias("_topic"),
+                          F.col("partition").alias("_partition"), F.col("offset").alias("_offset"),
+                          F.col("timestamp").alias("_sent_at"))
     r = spark.readStream.format("text")
     if source.get("max_files"):
         r = r.option("maxFilesPerTrigger", int(source["max_files"]))
@@ -44,13 +45,16 @@ def _parsed_once(df: DataFrame, value: str, schema: T.StructType, keep) -> DataF
     return df.select(F.inline(parsed), *keep)
 
 
-def parse_change(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+def parse_change(df: DataFrame, schema: T.StructType, value: str = "value", raw: str | None = None) -> DataFrame:
     """JSON value -> typed columns; unknown fields are ignored.
 
+    ``raw`` names a column that keeps the text as it came, for quarantine.
+
     Other input columns (e.g. the Kafka offset) are kept. Malformed JSON
     gives a row of NULLs or no row; drop those with :func:`require_key`.
     """
-    return _parsed_once(df, value, schema, [c for c in df.columns if c != value])
+    keep = [F.col(c) for c in df.columns if c != value] + ([F.col(value).alias(raw)] if raw else [])
+    return _parsed_once(df, value, schema, keep)
 
 
 def cdc_unwrap(df: DataFrame, row_schema: T.StructType, deletes: str = "drop",
@@ -59,18 +63,35 @@ def cdc_unwrap(df: DataFrame, row_schema: T.StructType, deletes: str = "drop",
 
     Tombstones (NULL value) are always dropped. ``deletes="drop"`` drops
     ``op = 'd'``; ``deletes="flag"`` keeps them as the before-image with
-    ``is_deleted = true`` (apply after the versioned read).
+    ``is_deleted = true`` (apply after the versioned read). ``ts_ms`` and all
+    other input columns (topic, partition, offset) stay, so a versioned read
+    can take the newest change of a key: see :func:`change_order`.
     """
-    e = _parsed_once(df.filter(F.col(value).isNotNull()), value, cdc_envelope(row_schema), [])
+    rest = [c for c in df.columns if c != value]
+    e = _parsed_once(df.filter(F.col(value).isNotNull()), value, cdc_envelope(row_schema), rest)
     if deletes == "drop":
-        return e.filter(F.col("op") != "d").select("after.*", "op")
+        return e.filter(F.col("op") != "d").select("after.*", "op", "ts_ms", *rest)
     if deletes == "flag":
         img = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-        return e.select(img.alias("_r"), "op").select(
-            "_r.*", "op", (F.col("op") == "d").alias("is_deleted"))
+        return e.select(img.alias("_r"), "op", "ts_ms", *rest).select(
+            "_r.*", "op", "ts_ms", *rest, (F.col("op") == "d").alias("is_deleted"))
     raise ValueError("deletes must be 'drop' or 'flag'")
 
 
+def change_order(offset: str = "_offset") -> list[Column]:
+    """Newest change first: change time, then the position in the topic.
+
+    All changes of a key are in one partition of the topic, so offsets order them.
+    """
+    return [F.col("ts_ms").desc(), F.col(offset).desc()]
+
+
+def malformed(df: DataFrame, row_schema: T.StructType, value: str = "value") -> DataFrame:
+    """Change rows that are no envelope (bad JSON, or no operation), with their text and position."""
+    e = F.from_json(F.col(value).cast("string"), cdc_envelope(row_schema))
+    return df.filter(F.col(value).isNotNull() & F.coalesce(e["op"], F.lit("")).isin("c", "u", "d", "r").__invert__())
+
+
 def with_event_time(df: DataFrame, text: str = "created_at", out: str = "created_at") -> DataFrame:
     """Lenient timestamp parse (bad text -> NULL, not an error)."""
     return df.withColumn(out, parse_ts(F.col(text)))

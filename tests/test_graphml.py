@@ -118,20 +118,3 @@ def test_parse_linestring_bad(spark):
     out = [r.p for r in df.select(geo.parse_linestring("t").alias("p")).collect()]
     assert out[0] is None and out[1] is None and out[2] is None and out[4] is None
     assert [(p.lat, p.lon) for p in out[3]] == [(2.0, 1.0), (4.0, 3.0)]
-
-
-def test_expected_speed_matches_formula(spark):
-    import zlib
-    links = spark.createDataFrame([("a_b_0", "primary", 60.0), ("x", "nope", 40.0)],
-                                  "link_id string, road_type string, maxspeed double")
-    got = {(r.link_id, r.hour): r.expected_kmh for r in G.expected_speed(links).collect()}
-    rush = {"primary": 0.60}
-    for (lid, rt, ms) in [("a_b_0", "primary", 60.0), ("x", "nope", 40.0)]:
-        lf = 0.55 + 0.45 * ((zlib.crc32(lid.encode()) % 1000) / 1000.0)
-        for h in range(24):
-            hf = 0.5 if h in (7, 8, 9, 17, 18, 19) else 0.7 if h in (6, 10, 16, 20) else \
-                1.1 if h in (0, 1, 2, 3, 4) else 1.0
-            f = hf * lf
-            if h in (7, 8, 9, 17, 18, 19):
-                f *= rush.get(rt, 0.7)
-            assert abs(got[(lid, h)] - max(3.0, ms * f)) < 1e-9

@@ -11,7 +11,7 @@ from lakehound.plans.features import fraud_features
 from lakehound.plans.training import save_model, train_fraud
 from lakehound.schemas import FRAUD_EVENT_FULL
 from lakehound.sources import fixtures as X
-from lakehound.sources.sinks import write_predictions
+from lakehound.sources.sinks import write_predictions, writer_id
 from lakehound.sources.tables import Tables
 from lakehound.streaming.changes import (FRAUD_RULES, parse_change, read_change_stream,
                                          with_event_time)
@@ -81,8 +81,12 @@ def test_score_stream_skips_without_model_then_scores_once(spark, scratch):
     assert pred.first().model_version == "7"
     # replaying a batch id overwrites its partition instead of adding a copy
     batch = pred.first().batch_id
-    write_predictions(pred.drop("batch_id"), out, batch)
+    row = spark.createDataFrame(pred.collect(), pred.schema).drop("batch_id", "writer")
+    write_predictions(row, out, batch, writer_id(ck))
     assert spark.read.parquet(out).count() == 1
+    # another writer with the same batch number adds its rows
+    write_predictions(row, out, batch, "backlog")
+    assert spark.read.parquet(out).count() == 2
 
 
 def test_late_rows_are_dropped_by_watermark(spark, scratch):
