@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakehound.llm import words as W
 
 #: The sample of a language: at most so many documents, bytes of each, and bytes in all.
-SAMPLE_DOCS, SAMPLE_DOC_BYTES, SAMPLE_BYTES = 96, 1024, 65536
+SAMPLE_DOCS, SAMPLE_DOC_BYTES, SAMPLE_BYTES = 64, 1024, 40960
 #: Symbols of a block; a phrase ends with its block.
 BLOCK = 512
 UNDETERMINED = "und"
@@ -43,35 +43,35 @@ def _symbols(samples: dict[str, bytes]) -> tuple[np.ndarray, int]:
 
 
 def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
-    """Transitions [state, symbol], -1 where a symbol leads out of the text's substrings."""
-    moves, link, length, last = [{}], [-1], [0], 0
+    """Transitions [state, symbol], -1 where a symbol leads out of the text's substrings.
+
+    The table is filled in place: a worker holds no other copy of the automaton.
+    """
+    moves = np.full((2 * len(symbols) + 2, size), -1, dtype=np.int32)
+    link, length, last, states = [-1], [0], 0, 1
     for c in symbols:
-        new = len(moves)
-        moves.append({})
+        new, states = states, states + 1
         length.append(length[last] + 1)
         link.append(0)
         at = last
-        while at >= 0 and c not in moves[at]:
-            moves[at][c] = new
+        while at >= 0 and moves[at, c] < 0:
+            moves[at, c] = new
             at = link[at]
         if at >= 0:
-            to = moves[at][c]
+            to = int(moves[at, c])
             if length[to] == length[at] + 1:
                 link[new] = to
             else:
-                copy = len(moves)
-                moves.append(dict(moves[to]))
+                copy, states = states, states + 1
+                moves[copy] = moves[to]
                 length.append(length[at] + 1)
                 link.append(link[to])
                 link[to] = link[new] = copy
-                while at >= 0 and moves[at].get(c) == to:
-                    moves[at][c] = copy
+                while at >= 0 and moves[at, c] == to:
+                    moves[at, c] = copy
                     at = link[at]
         last = new
-    out = np.full((len(moves), size), -1, dtype=np.int32)
-    for state, own in enumerate(moves):
-        out[state, list(own)] = list(own.values())
-    return out
+    return moves[:states]
 
 
 @dataclass
@@ -92,10 +92,10 @@ class Parser:
         for lang in sorted(samples):
             seq = _collapsed(symbols[np.frombuffer(samples[lang], np.uint8)])
             own = suffix_automaton(seq.tolist(), size)
-            start = np.where(own[0] >= 0, own[0], 0)
-            table = np.where(own >= 0, own + base, (start + base) | _PHRASE)
+            start = (np.maximum(own[0], 0) + base) | _PHRASE
+            table = np.where(own >= 0, own + np.int32(base), start.astype(np.int32))
             table[:, 0] = base
-            tables.append(table.astype(np.int32))
+            tables.append(table)
             roots.append(base)
             base += len(own)
         weights = np.array([np.log2(len(samples[x]) + 2) for x in sorted(samples)])

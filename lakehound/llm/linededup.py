@@ -100,6 +100,15 @@ def _digests(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), dtype=np.uint64).reshape(-1, 2)
 
 
+#: Rows that a task takes apart into Python lines at once.
+_ROWS_AT_ONCE = 256
+
+
+def _texts(column: pa.Array) -> Iterator[bytes | None]:
+    for at in range(0, len(column), _ROWS_AT_ONCE):
+        yield from column.slice(at, _ROWS_AT_ONCE).cast(pa.binary()).to_pylist()
+
+
 def _shards(digests: np.ndarray, shards: int) -> np.ndarray:
     return ((digests[:, 0] >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
 
@@ -136,7 +145,7 @@ def postings_of(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
     def keys(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             out = []
-            for text in column.cast(pa.binary()).to_pylist():
+            for text in _texts(column):
                 own = {line_key(x, min_points) for x in (text or b"").split(b"\n")}
                 out.append(sorted(own - {None}))
             yield pa.array(out, pa.list_(pa.binary()))
@@ -231,7 +240,7 @@ class LineIndex:
             tables = {s: Cuckoo(n, np.frombuffer(f, np.uint16).reshape(-1, SLOTS)) for s, (n, f) in kept.value.items()}
             for column in texts:
                 keys, row = [], []
-                for i, text in enumerate(column.cast(pa.binary()).to_pylist()):
+                for i, text in enumerate(_texts(column)):
                     own = [k for k in (line_key(x, min_points) for x in (text or b"").split(b"\n")) if k]
                     keys += own
                     row += [i] * len(own)
@@ -252,7 +261,7 @@ def _rewritten(min_points: int):
     def rewrite(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, drops in batches:
             out, counts = [], []
-            for text, gone in zip(texts.cast(pa.binary()).to_pylist(), drops.to_pylist(), strict=True):
+            for text, gone in zip(_texts(texts), drops.to_pylist(), strict=True):
                 lines = (text or b"").split(b"\n")
                 dead = set(gone or ())
                 stay = [x for x in lines if line_key(x, min_points) not in dead] if dead else lines

@@ -35,7 +35,7 @@ MODEL_WORDS, MODEL_BIGRAMS = 1 << 18, 1 << 20
 #: Taken off every count and given to the order below: what few contexts show is left to the shared counts.
 DISCOUNT, PAIR_DISCOUNT = 6.0, 2.0
 WINDOW, STRONG = 16, (1.5, 2.5)
-_BATCH_BYTES = 6 << 20
+_BATCH_BYTES = 2 << 20
 COUNTS = T.StructType([T.StructField("u", T.IntegerType()), T.StructField("w", T.IntegerType()), T.StructField("before", T.LongType()),
                        T.StructField("before0", T.LongType()), T.StructField("before1", T.LongType()),
                        T.StructField("n0", T.LongType()), T.StructField("n1", T.LongType())])

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SHINGLE_WORDS = 5
 
 #: ASCII white space of every contract here: blank, \t \n \v \f \r.
