@@ -22,19 +22,24 @@ def amount_log(c) -> Column:
     return F.log1p(_c(c))
 
 
-def hour_of(c) -> Column:
-    """hour of day in the session time zone (naive timestamps are not shifted)."""
-    return F.hour(_c(c))
+def in_zone(c, tz: str | None = None) -> Column:
+    """UTC wall clock as the wall clock of zone ``tz``; unchanged without one."""
+    return _c(c) if tz is None else F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(c).cast("timestamp_ntz"))
 
 
-def dow_sun1(c) -> Column:
-    """weekday with Sunday = 1 .. Saturday = 7."""
-    return F.dayofweek(_c(c))
+def hour_of(c, tz: str | None = None) -> Column:
+    """hour of day, of a UTC time in zone ``tz`` if one is given."""
+    return F.hour(in_zone(c, tz))
 
 
-def dow_mon1(c) -> Column:
-    """weekday with Monday = 1 .. Sunday = 7."""
-    return F.weekday(_c(c)) + 1
+def dow_sun1(c, tz: str | None = None) -> Column:
+    """weekday with Sunday = 1 .. Saturday = 7, in zone ``tz`` if one is given."""
+    return F.dayofweek(in_zone(c, tz))
+
+
+def dow_mon1(c, tz: str | None = None) -> Column:
+    """weekday with Monday = 1 .. Sunday = 7, in zone ``tz`` if one is given."""
+    return F.weekday(in_zone(c, tz)) + 1
 
 
 def minute_of(c) -> Column:

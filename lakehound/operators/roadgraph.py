@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from lakehound.functions import geo
 from lakehound.functions.scalar import link_id as make_link_id, parse_highway, parse_maxspeed
 from lakehound.operators.dedup import first_by_key
-from lakehound.operators.sizing import broadcast_if_small
 
 # Per road type the default max speed (km/h) when the edge has none.
 ROAD_TYPES = [
@@ -58,14 +57,14 @@ def with_road_type_constants(df: DataFrame, spark: SparkSession,
     return j.withColumn("default_maxspeed", F.coalesce("default_maxspeed", F.lit(DEFAULT_MAXSPEED)))
 
 
-def edges_with_geometry(raw: DataFrame, nodes: DataFrame, max_nodes: int = 5_000_000) -> DataFrame:
+def edges_with_geometry(raw: DataFrame, nodes: DataFrame) -> DataFrame:
     """Keep edges whose two ends are known nodes, attach polyline and attributes.
 
     ``raw``: src, dst, edge_key, geometry (text), highway, maxspeed_raw.
     The polyline is the parsed geometry, or the straight line between the end
     nodes when the geometry is absent, bad or shorter than two points.
     """
-    n = broadcast_if_small(nodes.select("node_id", "lat", "lon"), max_nodes)
+    n = nodes.select("node_id", "lat", "lon")
     s = n.select(F.col("node_id").alias("src"), F.col("lat").alias("_slat"),
                  F.col("lon").alias("_slon"))
     d = n.select(F.col("node_id").alias("dst"), F.col("lat").alias("_dlat"),
@@ -102,11 +101,12 @@ def adjacency(edges: DataFrame) -> DataFrame:
 
 
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Node count, edge count and total length in km."""
-    n_edges = edges.agg(F.count(F.lit(1))).scalar()
-    km = edges.agg(F.sum(geo.polyline_length("poly")) / 1000.0).scalar()
-    return nodes.agg(F.count(F.lit(1)).alias("nodes")).select(
-        "nodes", n_edges.alias("edges"), km.alias("total_km"))
+    """Node count, edge count and total length in km, the edges read once."""
+    nothing = F.lit(None).cast("double").alias("m")
+    rows = nodes.select(F.lit(True).alias("is_node"), nothing).unionByName(
+        edges.select(F.lit(False).alias("is_node"), geo.polyline_length("poly").alias("m")))
+    return rows.agg(F.count_if("is_node").alias("nodes"), F.count_if(~F.col("is_node")).alias("edges"),
+                    (F.sum("m") / 1000.0).alias("total_km"))
 
 
 def link_geo(edges: DataFrame) -> DataFrame:

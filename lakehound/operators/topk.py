@@ -6,10 +6,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def newest(df: DataFrame, ts: str, k: int) -> DataFrame:
+    """The rows of the newest hours that together hold ``k`` rows (all rows if there are fewer).
+
+    A large top-k by ``ts`` then takes its rows from those hours only, not k rows from every
+    task of the table. Hours are counted first: one row each in the ordered window.
+    """
+    hour = F.date_trunc("hour", ts)
+    newer = Window.orderBy(F.col("_hour").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hours = df.filter(F.col(ts).isNotNull()).groupBy(hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
+    cut = hours.withColumn("_sum", F.sum("_n").over(newer)).filter(F.col("_sum") >= k).agg(F.max("_hour")).scalar()
+    return df.filter(cut.isNull() | (F.col(ts) >= cut))
+
+
 def top_k(df: DataFrame, order: Sequence, k: int, tie_keys: Sequence[str] = ()) -> DataFrame:
     """First ``k`` rows by ``order`` (Columns or names, names sort descending)."""
     cols: list[Column] = [F.col(o).desc() if isinstance(o, str) else o for o in order]

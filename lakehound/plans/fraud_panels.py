@@ -13,7 +13,7 @@ from lakehound.functions.scalar import dow_sun1, hour_of, minute_of, round_half_
 from lakehound.operators import aggregates as A
 from lakehound.operators.filters import time_filter
 from lakehound.operators.joins import scored_transactions, unscored
-from lakehound.operators.topk import top_k
+from lakehound.operators.topk import newest, top_k
 
 
 def total_transactions(t: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def risk_map(p: DataFrame, t: DataFrame, n: int = 2000) -> DataFrame:
 
 def latest_scores(p: DataFrame, n: int = 50000) -> DataFrame:
     """L3: the ``n`` most recent probabilities."""
-    return top_k(p, ["scored_at"], n, ["tx_uuid"]).select("tx_uuid", "fraud_probability")
+    return top_k(newest(p, "scored_at", n), ["scored_at"], n, ["tx_uuid"]).select("tx_uuid", "fraud_probability")
 
 
 def score_histogram(p: DataFrame, n: int = 50000, buckets: int = 30) -> DataFrame:

@@ -21,7 +21,7 @@ scored AS (
   FROM predictions p JOIN transactions t ON p.tx_uuid = t.tx_uuid
 ),
 steps AS (
-  SELECT day, CAST(round(score * 10000) AS BIGINT) AS step,
+  SELECT day, score AS step,
     CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
     CAST(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg
   FROM scored GROUP BY 1, 2

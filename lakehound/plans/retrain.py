@@ -8,14 +8,15 @@ current step.
 from __future__ import annotations
 
 import os
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakehound.operators.dedup import latest_by_key
 from lakehound.plans import registry
-from lakehound.plans.features import fraud_features
-from lakehound.plans.training import train_fraud
+from lakehound.plans.features import congestion_features, fraud_features
+from lakehound.plans.training import train_congestion, train_fraud
 from lakehound.sources.sinks import read_features, write_features
 
 
@@ -23,21 +24,28 @@ class StepFailed(RuntimeError):
     pass
 
 
-def retrain(spark: SparkSession, transactions: DataFrame, root: str, name: str = "fraud",
+def retrain(spark: SparkSession, rows: DataFrame, root: str, name: str = "fraud", kind: str = "fraud",
             n_trees: int = 200, max_depth: int = 10, promote_on_tie: bool = True) -> dict:
-    """Run features, train + register + alias challenger, then the promotion gate."""
+    """Run features, train + register + alias challenger, then the promotion gate.
+
+    ``kind`` is "fraud" (``rows`` are transactions, metric ROC-AUC) or "congestion" (vehicle positions, accuracy).
+    """
     report: dict = {}
+    key, features, train, metric = {
+        "fraud": ("tx_uuid", fraud_features, train_fraud, "roc_auc"),
+        "congestion": ("pos_uuid", partial(congestion_features, keep=["pos_uuid"]),
+                       partial(train_congestion, key="pos_uuid"), "accuracy")}[kind]
     try:
-        latest = latest_by_key(transactions, ["tx_uuid"],
+        latest = latest_by_key(rows, [key],
                                [F.col("id").desc(), F.col("created_at").desc()])
         path = os.path.join(root, "features", name)
-        report["features_rows"] = write_features(fraud_features(latest), path)
+        report["features_rows"] = write_features(features(latest), path)
     except Exception as ex:  # noqa: BLE001
         raise StepFailed(f"features: {ex}") from ex
     try:
         feats = read_features(spark, path)
-        result = train_fraud(feats, n_trees=n_trees, max_depth=max_depth)
-        version = registry.register_model(spark, root, name, result, "roc_auc", feats.schema)
+        result = train(feats, n_trees=n_trees, max_depth=max_depth)
+        version = registry.register_model(spark, root, name, result, metric, feats.schema)
         registry.set_alias(spark, root, name, registry.CHALLENGER, version)
         report.update(version=version, **result.metrics)
     except Exception as ex:  # noqa: BLE001

@@ -14,7 +14,6 @@ from lakehound.functions.scalar import congestion_level, round_half_up
 from lakehound.operators import aggregates as A
 from lakehound.operators.filters import recent, time_filter
 from lakehound.operators.joins import with_dimension
-from lakehound.operators.sizing import broadcast_if_small
 from lakehound.operators.topk import top_k
 
 
@@ -78,7 +77,7 @@ def congestion_map(pos: DataFrame, link_geo: DataFrame, as_of=None, window: str
                           F.col("mid_lon").alias("longitude"), "bearing")
     if all_links:
         # One row per link on the right, at most as many rows as the dimension.
-        j = geo.join(broadcast_if_small(c), "link_id", "left")
+        j = geo.join(c, "link_id", "left")
     else:
         j = with_dimension(c, geo, "link_id", how="inner")
     return j.select("latitude", "longitude", "bearing", "congestion", "n", "avg_speed", "link_id")

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehound.functions import geo
-from lakehound.operators.sizing import broadcast_if_small
 
 
 def stops(pos: DataFrame) -> DataFrame:
@@ -36,7 +35,7 @@ def route_edges(pos: DataFrame, link_geo: DataFrame) -> DataFrame:
     b = a.select("o", (F.col("k") - 1).alias("k"), F.col("link_id").alias("dst"),
                  F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"))
     hops = a.join(b, ["o", "k"]).withColumnRenamed("link_id", "src")
-    nodes = broadcast_if_small(route_nodes(link_geo), 5_000_000)
+    nodes = route_nodes(link_geo)
     s = nodes.select(F.col("node_id").alias("src"), F.col("lat").alias("slat"),
                      F.col("lon").alias("slon"))
     d = nodes.select(F.col("node_id").alias("dst"), F.col("lat").alias("dlat"),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lakehound.functions.scalar import congestion_level
 from lakehound.operators.dedup import latest_by_key
-from lakehound.operators.sizing import broadcast_if_small
 from lakehound.sources.tables import Tables
 
 # Fixed values of the stand-in rules (shared with the oracle SQL).
@@ -37,7 +36,7 @@ def _pick(c, values) -> F.Column:
 
 def customer_country(t: Tables) -> DataFrame:
     """customer key -> nation name and key; nation is a 25-row dimension."""
-    nation = broadcast_if_small(t.nation.select("n_nationkey", "n_name"), 10_000)
+    nation = t.nation.select("n_nationkey", "n_name")
     return (t.customer.select("c_custkey", "c_nationkey")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
 

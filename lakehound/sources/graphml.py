@@ -4,8 +4,7 @@ Read with Spark's XML source, one row per ``<node>`` and ``<edge>`` element,
 so a large graph splits across tasks like any file. ``<data>`` children are
 read as an explicit array (a single child would otherwise be inferred as a
 struct). Attribute names are resolved in the row itself: the ``<key>``
-declarations (a few dozen per file, bounded by the attribute count, not by
-the data) are read once and turned into a key-id filter per attribute, so
+declarations of the five attributes in use are read once and turned into a key-id filter per attribute, so
 nodes and edges need no explode, join or shuffle.
 """
 
@@ -17,7 +16,8 @@ from pyspark.sql import types as T
 
 from lakehound.operators.roadgraph import add_reverse_edges, edges_with_geometry
 
-MAX_KEYS = 10_000
+#: The attributes that a road graph is read for.
+ATTRIBUTES = ("x", "y", "geometry", "highway", "maxspeed")
 
 _DATA = T.ArrayType(T.StructType([T.StructField("_key", T.StringType()),
                                   T.StructField("_VALUE", T.StringType())]))
@@ -35,11 +35,9 @@ def _xml(spark: SparkSession, path: str, tag: str, schema: T.StructType) -> Data
 
 
 def read_keys(spark: SparkSession, path: str) -> dict[tuple[str, str], list[str]]:
-    """(element kind, attribute name) -> key ids; kind ``all`` applies to both."""
-    rows = (_xml(spark, path, "key", _KEY).limit(MAX_KEYS + 1)
-            .select("_id", "_for", F.col("`_attr.name`").alias("name")).collect())
-    if len(rows) > MAX_KEYS:
-        raise ValueError(f"more than {MAX_KEYS} GraphML key declarations")
+    """(element kind, attribute name) -> key ids of ``ATTRIBUTES``; kind ``all`` applies to both."""
+    rows = (_xml(spark, path, "key", _KEY).select("_id", "_for", F.col("`_attr.name`").alias("name"))
+            .filter(F.col("name").isin(*ATTRIBUTES)).distinct().collect())
     out: dict[tuple[str, str], list[str]] = {}
     for r in rows:
         out.setdefault((r["_for"] or "all", r["name"]), []).append(r["_id"])

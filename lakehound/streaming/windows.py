@@ -35,5 +35,8 @@ def link_congestion_stream(df: DataFrame, delay: str = "1 minute", ts: str = "cr
 
 def dedup_stream(df: DataFrame, key: str = "tx_uuid", delay: str = "10 minutes",
                  ts: str = "created_at") -> DataFrame:
-    """Drop replayed events with the same key seen within the watermark delay."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """Drop replayed events with the same key seen within the watermark delay.
+
+    Events without a key are no copies of each other and go (quarantine keeps them, X6).
+    """
+    return df.filter(F.col(key).isNotNull()).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

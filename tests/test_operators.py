@@ -6,7 +6,9 @@ from conftest import SF_SMALL
 from lakehound.operators import aggregates as A
 from lakehound.operators.dedup import latest_by_key, max_version_row
 from lakehound.operators.filters import bbox_filter, recent, time_filter
+from lakehound.functions.scalar import dow_mon1, dow_sun1, hour_of
 from lakehound.operators.metrics import auc_by_group
+from lakehound.operators.topk import newest
 from lakehound.plans import fraud_panels as P
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
@@ -82,3 +84,24 @@ def test_backlog_then_nothing_unscored(spark):
     fake = backlog.select("tx_uuid", F.lit(0.1).alias("fraud_probability"))
     assert P.unscored_features(tx, p.select("tx_uuid").unionByName(fake.select("tx_uuid"))).count() == 0
     assert backlog.count() == tx.filter(F.col("id") % 10 == 0).count()
+
+
+def test_auc_tells_close_scores_apart(spark):
+    rows = [(0.300001, 0), (0.300002, 1), (0.300003, 0), (0.300004, 1), (1.0, 1), (0.0, 0), (None, 1)]
+    df = spark.createDataFrame([("g", *r) for r in rows] + [(None, 0.5, 1), (None, 0.4, 0)], "g string, s double, y int")
+    got = {r.g: r.auc for r in auc_by_group(df, ["g"], "s", "y").collect()}
+    assert abs(got["g"] - 8 / 9) < 1e-12 and got[None] == 1.0
+
+
+def test_newest_keeps_whole_hours(spark):
+    df = spark.sql("SELECT id, TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, 0, 0, id * 20) AS ts FROM range(12) "
+                   "UNION ALL SELECT 99, NULL")
+    assert sorted(r.id for r in newest(df, "ts", 4).collect()) == [6, 7, 8, 9, 10, 11]
+    assert newest(df, "ts", 12).count() == 12 and newest(df, "ts", 13).count() == 13
+
+
+def test_hour_and_weekday_in_a_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-06 20:30:00' AS ts")  # a Saturday evening in UTC
+    assert tuple(df.select(hour_of("ts"), dow_sun1("ts"), dow_mon1("ts")).first()) == (20, 7, 6)
+    zone = "Asia/Tokyo"
+    assert tuple(df.select(hour_of("ts", zone), dow_sun1("ts", zone), dow_mon1("ts", zone)).first()) == (5, 1, 7)
