@@ -32,13 +32,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays, the one with the smallest doc_id.
+    """One document of each near-duplicate component (similarity 0.8 or more) stays, the one with the smallest doc_id.
 
     Texts without a word link with nothing and stay. Rows that repeat a doc_id stay or go together;
     rows with a null doc_id stay.
     """
     code_on_workers(spark)
-    gone = neardup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    gone = neardup.near_duplicates(docs, percent=80, bands=neardup.BANDS_80).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -33,6 +33,8 @@ BANDS, BAND_BINS = 24, 5
 BINS = BANDS * BAND_BINS
 #: link if 100 * intersection >= PERCENT * union.
 PERCENT = 85
+#: For links from 80 percent: 35 bands of 5 bins miss a pair of similarity 0.8 with probability 1e-6.
+BANDS_80 = 35
 #: Shingles of the sets that one task searches at once.
 TASK_SHINGLES = 1 << 19
 
@@ -77,19 +79,21 @@ def set_ids(sets: list[np.ndarray]) -> list[bytes | None]:
     return [bytes(x) if len(s) else None for x, s in zip(both.T.copy(), sets, strict=True)]
 
 
-def _sketched(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for column in texts:
-        parts = []
-        for _, text in W.slices([pa.RecordBatch.from_arrays([column], names=["text"])], "text"):
-            sets = W.shingle_sets(text)
-            sizes = np.array([len(s) for s in sets])
-            every = np.concatenate(sets)
-            keys = band_keys(sketches(every, np.repeat(np.arange(len(sets)), sizes), len(sets)))
-            bands = pa.ListArray.from_arrays(pa.array(np.cumsum(np.append(0, (sizes > 0) * BANDS)), pa.int32()),
-                                             pa.array(keys[sizes > 0].ravel().view(np.int64)))
-            parts.append(pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(set_ids(sets), pa.binary()), bands],
-                                                    names=["n_shingles", "set_id", "bands"]))
-        yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("n_shingles", pa.int64()), ("set_id", pa.binary()), ("bands", pa.list_(pa.int64()))]))
+def _sketched(n_bands: int):
+    def sketch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            parts = []
+            for _, text in W.slices([pa.RecordBatch.from_arrays([column], names=["text"])], "text"):
+                sets = W.shingle_sets(text)
+                sizes = np.array([len(s) for s in sets])
+                every = np.concatenate(sets)
+                keys = band_keys(sketches(every, np.repeat(np.arange(len(sets)), sizes), len(sets), n_bands * BAND_BINS), n_bands)
+                bands = pa.ListArray.from_arrays(pa.array(np.cumsum(np.append(0, (sizes > 0) * n_bands)), pa.int32()),
+                                                 pa.array(keys[sizes > 0].ravel().view(np.int64)))
+                parts.append(pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(set_ids(sets), pa.binary()), bands],
+                                                        names=["n_shingles", "set_id", "bands"]))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("n_shingles", pa.int64()), ("set_id", pa.binary()), ("bands", pa.list_(pa.int64()))]))
+    return sketch
 
 
 def _sets(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -238,8 +242,8 @@ def _remaining(members: DataFrame, found: DataFrame, percent: int, task_shingles
     return rest.unionByName(every).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compared(percent), "u binary, v binary")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, task_shingles: int = TASK_SHINGLES) -> DataFrame:
-    """Components of near-duplicate rows of ``docs`` (doc_id, text).
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, task_shingles: int = TASK_SHINGLES, bands: int = BANDS) -> DataFrame:
+    """Components of near-duplicate rows of ``docs`` (doc_id, text); a smaller ``percent`` needs more ``bands``.
 
     Words are runs without ASCII white space, A-Z lower-cased; fewer than five words are one shingle,
     null and empty texts have none and link with nothing. component_id is the smallest doc_id of the
@@ -247,7 +251,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, task_shingles: int
     with that doc_id. Repeated rows are equal sets, so one class. Other columns are not used.
     Returns doc_id, n_shingles, component_id, kept.
     """
-    rows = docs.select("doc_id", F.arrow_udf(_sketched, "struct<n_shingles: bigint, set_id: binary, bands: array<bigint>>")("text").alias("s"))
+    rows = docs.select("doc_id", F.arrow_udf(_sketched(bands), "struct<n_shingles: bigint, set_id: binary, bands: array<bigint>>")("text").alias("s"))
     table = saved(rows.select("doc_id", "s.*"), "near-sketches")
     classes = saved(table.filter("set_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "near-classes")
