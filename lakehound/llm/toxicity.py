@@ -2,10 +2,11 @@
 
 Two interpolated bigram models, one of toxic and one of ordinary text, share
 their lowest order: continuation counts (how many different words precede a
-word) gathered over the whole corpus. A class that lacks a bigram backs off to
-its own continuation counts, and from there to the shared ones, so rare
-expressions cancel out; bigrams are counted by the words before them too, so
-many copies of one text raise nothing. A text's evidence is its log-likelihood
+word) gathered over the whole corpus, all of them exact. A class that lacks a
+bigram backs off to its own continuation counts, and from there to the shared
+ones, so rare expressions cancel out; bigrams are counted by the words before
+them too, so many copies of one text raise nothing. Discounts come from the
+counts of counts of each class and order. A text's evidence is its log-likelihood
 ratio, normalised by length: per word, per root of the words (the noise of
 that many words), in the strongest window of WINDOW words, which keeps an
 insult in a long text visible, and of what single words show beyond STRONG. A logistic regression on other labelled rows
@@ -31,14 +32,16 @@ from lakehound.llm.shared import saved
 #: Labelled rows of each class that the class counts, and of both that the calibration, are fitted on (about).
 CLASS_ROWS, CALIBRATION_ROWS = 12_000, 20_000
 #: Words and bigrams that the model keeps, by their counts; all others back off.
-MODEL_WORDS, MODEL_BIGRAMS = 1 << 18, 1 << 20
-#: Taken off every count and given to the order below: what few contexts show is left to the shared counts.
-DISCOUNT, PAIR_DISCOUNT = 6.0, 2.0
+MODEL_WORDS, MODEL_BIGRAMS = 1 << 18, 1 << 21
+#: Where counts of counts tell no discount, or one outside.
+LEAST_DISCOUNT, MOST_DISCOUNT = 0.1, 0.95
+#: Bigrams that a task holds before it sends the distinct ones, to 1024 buckets of words.
+HELD_PAIRS = 1 << 21
 WINDOW, STRONG = 16, (1.5, 2.5)
 _BATCH_BYTES = 2 << 20
-COUNTS = T.StructType([T.StructField("u", T.IntegerType()), T.StructField("w", T.IntegerType()), T.StructField("before", T.LongType()),
-                       T.StructField("before0", T.LongType()), T.StructField("before1", T.LongType()),
-                       T.StructField("n0", T.LongType()), T.StructField("n1", T.LongType())])
+SENT = T.StructType([T.StructField("bucket", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in ("words", "n", "before")]])
+WAYS = T.StructType([T.StructField("w", T.IntegerType()), T.StructField("ways", T.LongType())])
+COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("before", "u", "w", "toxic")])
 
 
 def fold(doc_id: Column) -> Column:
@@ -53,45 +56,75 @@ def _tokens(text: W.Text) -> tuple[np.ndarray, np.ndarray]:
     return (values >> np.uint64(32)).astype(np.uint32), words.first
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (u, w, before, before0, before1, n0, n1) of (text, toxic) rows: u null for words, else bigrams of labelled rows.
+def _prior(value: np.ndarray, first: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """``of`` of the word before every word; 0 at the start of a row."""
+    out = np.roll(of, 1)
+    out[first[:-1][first[:-1] < len(value)]] = 0
+    return out
+
+
+def _sent(keys: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket of words: its words, how many words precede each, and those."""
+    order = np.argsort((W.mix(keys >> np.uint64(32)) >> np.uint64(54)).astype(np.uint16), kind="stable")
+    keys = keys[order]
+    word = (keys >> np.uint64(32)).astype(np.uint32)
+    bucket = (W.mix(word.astype(np.uint64)) >> np.uint64(54)).astype(np.int32)
+    begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    n = np.diff(np.append(begin, len(word))).astype(np.uint32)
+    own = np.flatnonzero(np.append(True, bucket[begin][1:] != bucket[begin][:-1]))
+    ends = np.append(own, len(begin))
+    cut = np.append(begin, len(word))[ends]
+    before = keys.astype(np.uint32)
+    parts = [[x[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)] for x, at in ((word[begin], ends), (n, ends), (before, cut))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[begin][own], pa.int32()), *[pa.array(x, pa.binary()) for x in parts]], names=SENT.names)
+
+
+def _preceded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words before every word, by the word's bucket; a row's first word comes after 0."""
+    held, size = [], 0
+    for _, text in W.slices(batches, "text", _BATCH_BYTES):
+        value, first = _tokens(text)
+        held.append(np.unique(value.astype(np.uint64) << np.uint64(32) | _prior(value, first, value)))
+        size += len(held[-1])
+        if size > HELD_PAIRS:
+            yield _sent(np.unique(np.concatenate(held)))
+            held, size = [], 0
+    if size:
+        yield _sent(np.unique(np.concatenate(held)))
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w, ways): how many different words precede w, of rows sorted by bucket."""
+    run, last = [], None
+
+    def counted() -> pa.RecordBatch:
+        word, n = np.unique((np.unique(np.concatenate(run)) >> np.uint64(32)).astype(np.uint32), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int32)), pa.array(n, pa.int64())], names=WAYS.names)
+
+    for batch in batches:
+        for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            word, n, before = (np.frombuffer(x, np.uint32) for x in parts)
+            if bucket != last and run:
+                yield counted()
+                run = []
+            last = bucket
+            run.append(np.repeat(word, n).astype(np.uint64) << np.uint64(32) | before)
+    if run:
+        yield counted()
 
-    ``before`` has a bit for each hash value mod 64 of a word seen before w, in any
-    row and in the rows of each class.
-    """
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct rows (before, u, w, toxic): two words of a row of that label and the word before them; 0 before a row's first."""
     for batch, text in W.slices(batches, "text", _BATCH_BYTES):
         value, first = _tokens(text)
-        if not len(value):
-            continue
-        label = batch.column("toxic").fill_null(-1).to_numpy(zero_copy_only=False)
-        of = np.repeat(label, np.diff(first))
-        start = np.zeros(len(value), dtype=bool)
-        start[first[:-1][first[:-1] < len(value)]] = True
-        prior = np.roll(value, 1)
-        prior[start] = 0
-        order = np.argsort(value, kind="stable")
-        group = np.flatnonzero(np.append(True, value[order][1:] != value[order][:-1]))
-        bit = np.uint64(1) << (W.mix(prior.astype(np.uint64)) & np.uint64(63))
-        before = [np.bitwise_or.reduceat(np.where(mask, bit[order], 0), group) for mask in (True, of[order] == 0, of[order] == 1)]
-        n0, n1 = (np.add.reduceat((of[order] == c).astype(np.int64), group) for c in (0, 1))
-        words = value[order][group]
-        yield _rows(np.zeros(0, np.uint32), words, before, n0, n1, True)
-        known = np.flatnonzero((of >= 0) & ~start)
-        if len(known):
-            pair = prior[known].astype(np.uint64) << np.uint64(32) | value[known]
-            second = np.where(start[known - 1], 0, prior[known - 1]).astype(np.uint64)
-            order = np.argsort(pair, kind="stable")
-            group = np.flatnonzero(np.append(True, pair[order][1:] != pair[order][:-1]))
-            keys, toxic = pair[order][group], of[known][order] == 1
-            bit = np.uint64(1) << (W.mix(second)[order] & np.uint64(63))
-            before = [np.bitwise_or.reduceat(np.where(mask, bit, 0), group) for mask in (True, ~toxic, toxic)]
-            n0, n1 = (np.add.reduceat(mask.astype(np.int64), group) for mask in (~toxic, toxic))
-            yield _rows((keys >> np.uint64(32)).astype(np.uint32), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), before, n0, n1, False)
-
-
-def _rows(u, w, before, n0, n1, single: bool) -> pa.RecordBatch:
-    first = pa.nulls(len(w), pa.int32()) if single else pa.array(u.view(np.int32))
-    return pa.RecordBatch.from_arrays([first, pa.array(w.view(np.int32)), *[pa.array(x.view(np.int64)) for x in before], pa.array(n0, pa.int64()), pa.array(n1, pa.int64())], names=COUNTS.names)
+        u = _prior(value, first, value)
+        before = _prior(value, first, u)
+        toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int32), np.diff(first))
+        order = np.lexsort((before, value, u, toxic))
+        rows = [x[order] for x in (before, u, value, toxic)]
+        new = np.ones(len(value), dtype=bool)
+        new[1:] = np.any([x[1:] != x[:-1] for x in rows], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(x[new].view(np.int32)) for x in rows], names=COUNTS.names)
 
 
 @dataclass
@@ -154,67 +187,82 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _share(rows: DataFrame, want: int, by: str | None = None) -> DataFrame:
-    """About ``want`` rows, or as many of each value of ``by`` but no more than the rarest has, by the smallest hash of doc_id.
-
-    Classes of one size have counts that discounting and the shared order smooth alike.
-    """
+    """About ``want`` rows, or as many of each value of ``by``, by the smallest hash of doc_id."""
     sizes = {r[0]: r.n for r in rows.groupBy(F.col(by) if by else F.lit(0).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
     part = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    want = min([want, *sizes.values()]) if by else want
     limit = F.lit(0.0)
     for value, n in sizes.items():
         limit = F.when((F.col(by) == value) if by else F.lit(True), want / n).otherwise(limit)
     return rows.filter(part < limit)
 
 
-def _kept(rows: DataFrame, most: int) -> DataFrame:
-    """The rows with the largest counts, at most ``most``, by a cut on the count."""
-    sizes = sorted(((r.c, r.n) for r in rows.groupBy((F.col("n0") + F.col("n1")).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    cut, total = None, 0
-    for count, n in sizes:
+def _kept(rows: DataFrame, most: int, *key: str) -> DataFrame:
+    """The rows with the largest counts c0 + c1, about ``most``; of the last count that fits in part those with the smallest hash of ``key``."""
+    count = F.col("c0") + F.col("c1")
+    sizes = sorted(((r.c, r.n) for r in rows.groupBy(count.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    total = 0
+    for c, n in sizes:
         if total + n > most:
-            break
-        cut, total = count, total + n
-    return rows.filter(F.col("n0") + F.col("n1") >= F.lit(cut)) if cut is not None else rows.limit(0)
+            part = F.pmod(F.xxhash64(F.lit("kept"), *key), F.lit(1 << 30)) / float(1 << 30)
+            return rows.filter((count > c) | ((count == c) & (part < (most - total) / n)))
+        total += n
+    return rows
+
+
+def _discounts(rows: DataFrame) -> np.ndarray:
+    """n1 / (n1 + 2 n2) of the counts c0 and c1: how many are 1, and 2."""
+    r = rows.agg(*[F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in ("c0", "c1") for k in (1, 2)]).first()
+    one, two = np.array([r.c0_1, r.c1_1], float), np.array([r.c0_2, r.c1_2], float)
+    return np.clip(one / np.maximum(one + 2 * two, 1), LEAST_DISCOUNT, MOST_DISCOUNT)
+
+
+def continuations(docs: DataFrame) -> DataFrame:
+    """w, ways: the exact number of different words before every word of ``docs`` (text); the start of a row counts as one."""
+    sent = docs.select("text").mapInArrow(_preceded, SENT)
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_distinct, WAYS)
 
 
 def train(docs: DataFrame, sample: DataFrame) -> Model:
     """Counts of all of ``docs`` (doc_id, text) with the class counts of ``sample`` (doc_id, toxic; bounded)."""
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id", "left").select("text", "toxic")
-    table = saved(rows.mapInArrow(_counted, COUNTS).groupBy("u", "w").agg(
-        *[F.bit_or(c).alias(c) for c in ("before", "before0", "before1")], F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .filter("u is null or n0 + n1 > 1"), "kneser-ney")
-    # distinct words before w, by linear counting in 64 bits: exact enough for rare words, level for frequent ones
-    def ways(bits: str) -> Column:
-        return -64.0 * F.log(F.greatest(64 - F.bit_count(bits), F.lit(0.5)) / 64)
-
-    words = table.filter("u is null").select("w", "n0", "n1", ways("before").alias("ways"), ways("before0").alias("c0"), ways("before1").alias("c1"))
-    all_ = words.agg(F.sum("c0").alias("t0"), F.sum("c1").alias("t1"), F.sum(F.least("c0", F.lit(DISCOUNT))).alias("d0"),
-                     F.sum(F.least("c1", F.lit(DISCOUNT))).alias("d1"), F.sum("ways").alias("ways"), F.count(F.lit(1)).alias("v")).first()
-    if not all_.t0 or not all_.t1:
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id").select("text", "toxic")
+    # c0, c1: in each class, the distinct words before a bigram, then those before a word
+    pairs = saved(rows.mapInArrow(_counted, COUNTS).distinct().groupBy("u", "w").agg(
+        *[F.count_if(F.col("toxic") == k).alias(f"c{k}") for k in (0, 1)]), "kneser-ney")
+    words = saved(pairs.groupBy("w").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in ("c0", "c1")]), "kneser-ney-words")
+    all_ = words.agg(*[f(c).alias(n + c) for c in ("c0", "c1") for f, n in ((F.sum, "t"), (lambda c: F.count_if(F.col(c) > 0), "k"))]).first()
+    if not all_.tc0 or not all_.tc1:
         return Model(np.zeros(0, np.uint32), np.zeros((2, 0)), np.zeros((2, 0)), np.ones(2), np.zeros(0, np.uint64), np.zeros((2, 0)))
-    own = _kept(words.filter("n0 + n1 > 0"), MODEL_WORDS).toArrow()
+    ways = saved(continuations(docs), "continuations")
+    corpus = ways.agg(F.sum("ways").alias("ways"), F.count(F.lit(1)).alias("v")).first()
+    total, kinds, discount = np.array([all_.tc0, all_.tc1], float), np.array([all_.kc0, all_.kc1], float), _discounts(words)
+    own = _kept(words, MODEL_WORDS, "w").join(ways, "w").toArrow()
     value = own["w"].to_numpy().astype(np.int32).view(np.uint32)
     order = np.argsort(value)
     value = value[order]
-    n = np.stack([own["n0"].to_numpy(), own["n1"].to_numpy()])[:, order].astype(float)
     seen = np.stack([own["c0"].to_numpy(), own["c1"].to_numpy()])[:, order]
-    total, taken = np.array([all_.t0, all_.t1], float), np.array([all_.d0, all_.d1], float)
-    shared = (own["ways"].to_numpy()[order] + 1) / (all_.ways + all_.v)
-    low = taken / total
-    single = np.maximum(seen - DISCOUNT, 0) / total[:, None] + low[:, None] * shared
-    two = _kept(table.filter("u is not null").select("u", "w", "n0", "n1", ways("before0").alias("c0"), ways("before1").alias("c1")), MODEL_BIGRAMS).toArrow()
-    left, right = (two[c].to_numpy().astype(np.int32).view(np.uint32) for c in ("u", "w"))
+    shared = (own["ways"].to_numpy()[order] + 1) / (corpus.ways + corpus.v)
+    low = discount * kinds / total
+    single = np.maximum(seen - discount[:, None], 0) / total[:, None] + low[:, None] * shared
+    # a row's first word follows no word
+    after = pairs.filter("u <> 0")
+    discount = _discounts(after)
+    sums = after.groupBy("u").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"))
+    parts = [F.coalesce(F.greatest(F.col(f"c{k}") - float(discount[k]), F.lit(0.0)) / F.nullif(F.col(f"n{k}"), F.lit(0)), F.lit(0.0)) for k in (0, 1)]
+    # the driver takes 16 bytes of each
+    two = _kept(after, MODEL_BIGRAMS, "u", "w").join(sums, "u").select("u", "w", *[x.cast("float").alias(f"d{k}") for k, x in enumerate(parts)]).toArrow()
+    left, right = (two[c].to_numpy().view(np.uint32) for c in ("u", "w"))
+    pair = left.astype(np.uint64) << np.uint64(32) | right
+    order = np.argsort(pair)
+    left, pair = left[order], pair[order]
+    direct = np.stack([two[c].to_numpy()[order] for c in ("d0", "d1")])
     context = np.minimum(np.searchsorted(value, left), len(value) - 1)
     ok = value[context] == left
-    left, right, context = left[ok], right[ok], context[ok]
-    m = np.stack([two["c0"].to_numpy()[ok], two["c1"].to_numpy()[ok]])
-    direct = np.maximum(m - PAIR_DISCOUNT, 0) / np.maximum(n[:, context], 1)
+    if not ok.all():
+        pair, context, direct = pair[ok], context[ok], direct[:, ok]
+    # what discounts and bigrams that are not kept leave goes to the order below
     back = 1 - np.stack([np.bincount(context, weights=direct[c], minlength=len(value)) for c in (0, 1)])
-    pair = left.astype(np.uint64) << np.uint64(32) | right
-    order = np.argsort(pair)
-    return Model(value, single.astype(np.float32), np.maximum(back, 0.01).astype(np.float32), low / (all_.ways + all_.v),
-                 pair[order], direct[:, order].astype(np.float32))
+    return Model(value, single.astype(np.float32), np.maximum(back, 1e-6).astype(np.float32), low / (corpus.ways + corpus.v),
+                 pair, direct)
 
 
 def evidence(docs: DataFrame, model: Model) -> Column:
@@ -251,7 +299,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs, _share(known.filter("fold < 4"), CLASS_ROWS, "toxic"))
     calibrate = _share(known.filter("fold = 4"), CALIBRATION_ROWS)
     some = docs.select("doc_id", "text").join(F.broadcast(calibrate.select("doc_id", "toxic")), "doc_id")
-    seen = saved(some.select(F.col("toxic").cast("double").alias("label"), evidence(docs, model).alias("e")).select("label", *_inputs("e")), "calibration")
+    found = evidence(docs, model)
+    seen = saved(some.select(F.col("toxic").cast("double").alias("label"), found.alias("e")).select("label", *_inputs("e")), "calibration")
     sizes = {r.label: r.n for r in seen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) == 2:
         rows = VectorAssembler(inputCols=list(LIMITS), outputCol="features").transform(seen)
@@ -261,5 +310,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     else:
         score = F.lit(sizes.get(1.0, 0) / max(1, sum(sizes.values())))
     held = F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) == 0)
-    return docs.select("doc_id", held.alias("held_out"), evidence(docs, model).alias("e")).withColumn("score", score).select(
+    return docs.select("doc_id", held.alias("held_out"), found.alias("e")).withColumn("score", score).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "e.*")

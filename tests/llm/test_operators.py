@@ -356,3 +356,27 @@ def test_toxicity_learns_on_held_out(spark):
     assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.9 * len(held)
     assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     assert toxicity.score_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")).filter("score <> 0").count() == 0
+
+
+def test_toxicity_counts_do_not_saturate(spark):
+    rows = [(i, f"ctx{i % 1500} very good w{i % 900}") for i in range(2000)] + [(2000, None), (2001, ""), (2002, "very"), (2003, "good very")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = defaultdict(set)
+    for _, t in rows:
+        for a, b in zip(["", *(t or "").split()], (t or "").split()):
+            before[b].add(a)
+
+    def value(word):
+        return int(toxicity._tokens(words.flat(pa.array([word])))[0].view(np.int32)[0])
+
+    got = {r.w: r.ways for r in toxicity.continuations(docs).collect()}
+    assert got == {value(w): len(u) for w, u in before.items()}
+    assert len(before["very"]) == 1502
+    # in both classes "good" always follows "very", after 1400 and after 600 different words
+    sample = spark.createDataFrame([(i, int(i >= 1400)) for i in range(2000)], "doc_id long, toxic int")
+    model = toxicity.train(docs, sample)
+    spot = np.flatnonzero(model.pairs == (np.uint64(value("very") & 0xFFFFFFFF) << np.uint64(32) | np.uint64(value("good") & 0xFFFFFFFF)))
+    assert len(spot) == 1 and (model.direct[:, spot] > 0.99).all()
+    # bigrams seen once are kept, and what a context's bigrams leave is its discount
+    assert len(model.pairs) == 1500 + 1 + 900
+    assert (model.back > 0).all() and (model.single > 0).all()
