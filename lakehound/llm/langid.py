@@ -9,6 +9,7 @@ all tasks step through side by side.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from lakehound.llm import words as W
 
-#: The sample of a language: at most so many documents, bytes of each, and bytes in all.
-SAMPLE_DOCS, SAMPLE_DOC_BYTES, SAMPLE_BYTES = 64, 1024, 40960
+#: The sample of a language: at most so many different texts, and bytes in all.
+SAMPLE_DOCS, SAMPLE_BYTES = 64, 40960
+#: Bytes of a piece; a text longer than its share gives pieces chosen by hash over its whole length.
+PIECE_BYTES = 128
 #: Symbols of a block; a phrase ends with its block.
 BLOCK = 512
 UNDETERMINED = "und"
@@ -154,21 +157,52 @@ def learning_rows(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 != 1, F.lit(False))
 
 
+def _pieces(text: bytes, most: int) -> bytes:
+    """The whole text if it fits in ``most`` bytes, else pieces of it in reading order, chosen by hash; none cuts a character."""
+    if len(text) <= most:
+        return text
+    cuts = [a + next((k for k in range(4) if a + k >= len(text) or text[a + k] & 0xC0 != 0x80), 0) for a in range(0, len(text), PIECE_BYTES)]
+    parts = [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+    first = W.mix(np.array([zlib.crc32(text)], np.uint64))
+    rank = W.mix(np.arange(len(parts), dtype=np.uint64) + first)
+    chosen, left = [], most
+    for i in np.argsort(rank, kind="stable").tolist():
+        if len(parts[i]) + 1 > left:
+            break
+        chosen.append(i)
+        left -= len(parts[i]) + 1
+    return b" ".join(parts[i] for i in sorted(chosen))
+
+
+def _shares(sizes: list[int], total: int) -> list[int]:
+    """Bytes for each of some texts: short ones whole, what they leave goes to the longer ones in equal parts."""
+    out = [0] * len(sizes)
+    for done, i in enumerate(sorted(range(len(sizes)), key=lambda i: sizes[i])):
+        out[i] = min(sizes[i], total // (len(sizes) - done))
+        total -= out[i]
+    return out
+
+
 def learn(docs: DataFrame) -> dict[str, bytes]:
-    """Bounded samples by language, from the learning rows with the smallest hash of doc_id.
+    """Bounded samples by language, from the different texts of learning rows with the smallest hash.
 
-    Ids are chosen first, per language, without moving a text; then only those rows are read.
+    Copies of a text count once. Hashes are chosen first, per language, without moving a text; then only
+    one row of each is read. Every chosen text gives its share, as pieces from its whole length.
     """
-    usable = docs.filter(learning_rows(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS)
-    chosen = {r.doc_id for r in chosen.select("doc_id").collect()}
-    rows = (usable.filter(F.col("doc_id").isin(list(chosen)))
-            .select("lang", "doc_id", F.substring("text", 1, SAMPLE_DOC_BYTES).alias("text")).collect()) if chosen else []
-    out: dict[str, list[bytes]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.doc_id, r.text)):
-        out.setdefault(r.lang, []).append(r.text.encode()[:SAMPLE_DOC_BYTES])
-    return {lang: b" ".join(texts)[:SAMPLE_BYTES] for lang, texts in out.items()}
+    usable = docs.filter(learning_rows(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("__text", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "__text"), "__text")
+    different = usable.groupBy("lang", "__text").agg(F.min("doc_id").alias("doc_id"))
+    chosen = different.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS).drop("n").collect()
+    if not chosen:
+        return {}
+    wanted = {(r.lang, r["__text"]) for r in chosen}
+    rows = usable.filter(F.col("doc_id").isin([r.doc_id for r in chosen]) & F.col("__text").isin([r["__text"] for r in chosen])).select("lang", "__text", "text").distinct()
+    texts: dict[str, list[bytes]] = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.lang, r.text)):
+        if (r.lang, r["__text"]) in wanted:
+            texts.setdefault(r.lang, []).append(r.text.encode())
+    return {lang: b" ".join(_pieces(t, n) for t, n in zip(own, _shares([len(t) for t in own], SAMPLE_BYTES - len(own)), strict=True))
+            for lang, own in texts.items()}
 
 
 _parsers: dict[int, Parser] = {}

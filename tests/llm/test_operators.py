@@ -380,3 +380,27 @@ def test_toxicity_counts_do_not_saturate(spark):
     # bigrams seen once are kept, and what a context's bigrams leave is its discount
     assert len(model.pairs) == 1500 + 1 + 900
     assert (model.back > 0).all() and (model.single > 0).all()
+
+
+def test_language_learns_from_whole_different_texts(spark):
+    rnd = random.Random(11)
+
+    def body(own, n):
+        return " ".join(rnd.choice(own) + rnd.choice(own) for _ in range(n))
+
+    header = "shared terms of use " * 80
+    rows = [(i, header + f"mark{i:03d}x " + body(["ba", "be", "bi"], 300), "aa") for i in range(40)]
+    rows += [(100 + i, header + body(["xy", "xo", "zu"], 300), "bb") for i in range(40)]
+    rows += [(1000 + i, "copycopy " * 60, "aa") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = langid.learn(docs)
+    assert all(len(x) <= langid.SAMPLE_BYTES for x in got.values())
+    # the part after the header is learnt from, and copies count once
+    assert got["aa"].count(b"ba") > 500 and got["bb"].count(b"xy") > 500
+    assert got["aa"].count(b"copycopy") <= 60
+    # every chosen document contributes, and a cut text gives whole characters from all of its length
+    assert langid._shares([10, 1000, 2000, 5], 415) == [10, 200, 200, 5]
+    long = "".join(f"{i:04d}\u00e9" for i in range(3000))
+    some = langid._pieces(long.encode(), 2000).decode()
+    found = [int(x) for x in re.findall(r"(?<!\d)\d{4}(?=\u00e9)", some)]
+    assert len(some.encode()) <= 2000 and min(found) < 600 and max(found) > 2400
