@@ -66,3 +66,42 @@ reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc
 SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
 FROM reach r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
 """
+
+
+def _merkle(levels: int = 13) -> str:
+    """Levels one by one: enough for 3 ** levels rows a source; a tree of one node left stays as it is."""
+    h = "sha256(concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), " \
+        "coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'), coalesce(strlen({0}) || ':' || {0}, '-')))"
+    bit = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, z: xor(v >> 1, (v & 1) * 3988292384))"
+    crc = f"list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: {bit})"
+    out = [f"""WITH d AS (SELECT doc_id, coalesce('s' || source, '') AS tree, {h.format("text")} AS leaf,
+  CASE WHEN {crc} & 1 = 1 THEN {h.format("replace(text, chr(10), '')")} END AS changed FROM documents),
+w0 AS MATERIALIZED (SELECT doc_id, tree, leaf, coalesce(changed, leaf) AS f, '' AS proof,
+  row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+a0 AS MATERIALIZED (SELECT tree, i, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM w0)"""]
+
+    def climb(a: str, k: int) -> str:
+        return f"""{a}{k + 1} AS MATERIALIZED (SELECT tree, i // 3 AS i, (n + 2) // 3 AS n,
+  CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {a}{k} GROUP BY tree, i // 3, n),
+{a}s{k} AS MATERIALIZED (SELECT tree, i, n, coalesce(string_agg(h, '') OVER (PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+  coalesce(string_agg(h, '') OVER (PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM {a}{k})"""
+
+    def walk(w: str, a: str, k: int) -> str:
+        kept = "w.doc_id, w.leaf, w.tree" + (", w.subroot" if a == "b" else "")
+        on = "x.tree = w.tree AND x.i = w.i" if a == "a" else "x.i = w.i"
+        return f"""{w}{k + 1} AS MATERIALIZED (SELECT {kept}, w.i // 3 AS i, CASE WHEN n = 1 THEN f ELSE sha256(concat(before, f, after)) END AS f,
+  CASE WHEN n = 1 THEN proof ELSE concat(proof, before, after) END AS proof FROM {w}{k} w JOIN {a}s{k} x ON {on})"""
+
+    for k in range(levels):
+        out += [climb("a", k), walk("w", "a", k)]
+    out += [f"""b0 AS MATERIALIZED (SELECT 0 AS tree, tree AS source, row_number() OVER (ORDER BY tree) - 1 AS i, h, count(*) OVER () AS n FROM a{levels}),
+v0 AS MATERIALIZED (SELECT w.doc_id, w.leaf, w.tree, b.h AS subroot, b.i, w.f, w.proof FROM w{levels} w JOIN b0 b ON b.source = w.tree)"""]
+    for k in range(levels):
+        out += [climb("b", k), walk("v", "b", k)]
+    return ",\n".join(out) + f"""
+SELECT v.doc_id, v.leaf, v.subroot, r.h AS root, sha256(v.proof) AS proof_sha256, v.f AS folded_root, v.f = r.h AS verified
+FROM v{levels} v CROSS JOIN b{levels} r
+"""
+
+
+MERKLE = _merkle()
