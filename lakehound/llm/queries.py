@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehound.llm import decontam, langid, licenses, merkle, neardup, packing, quality, sharding, toxicity, urlfilter
+from lakehound.llm import alignment, decontam, langid, licenses, merkle, neardup, packing, quality, sharding, toxicity, urlfilter
 from lakehound.llm import sql as S
 from lakehound.llm.linededup import line_dedup_digest
 from lakehound.llm.shared import code_on_workers
@@ -89,6 +89,12 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
 
 
+@register("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), a, b)
+
+
 @register("op12_merkle_manifest", S.MERKLE)
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
