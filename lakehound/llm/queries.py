@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehound.llm import alignment, decontam, langid, licenses, merkle, neardup, packing, quality, sharding, toxicity, urlfilter
+from lakehound.llm import alignment, decontam, langid, licenses, merkle, neardup, packing, privacy, quality, sharding, toxicity, urlfilter
 from lakehound.llm import sql as S
 from lakehound.llm.linededup import line_dedup_digest
 from lakehound.llm.shared import code_on_workers
@@ -100,6 +100,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+@register("op13_private_data")
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.find_private(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the repository's top, deleted together with this subpackage
