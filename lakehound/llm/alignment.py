@@ -38,7 +38,8 @@ from lakehound.llm.shared import saved
 CHUNK_BYTES, FAN, BLOCK_BYTES = 1 << 16, 16, 8 << 20
 #: Different pieces that a worker remembers.
 CACHE_PIECES = 200_000
-_AT_ONCE = 4096
+#: Pieces encoded as one text, and such texts at once.
+_JOINED, _AT_ONCE = 32, 256
 
 #: Bytes after a blank that surely begin no white space.
 _SURE = np.ones(256, dtype=bool)
@@ -80,49 +81,63 @@ class Aligner:
         self.name_a, self.name_b = ([str(i) for i in range(len(v))] for v in (self.bytes_a, self.bytes_b))
         self.cache = Cache(CACHE_PIECES, {"pairs": np.uint64}, ("n_a", "n_b", "n_groups", "ok"))
 
-    def encoded(self, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
-        """Ids of pieces, all of which begin with a blank; of those whose tokens are other bytes, none."""
-        a, b = [], []
-        for k in range(0, len(texts), _AT_ONCE):
-            part = [x.decode() for x in texts[k:k + _AT_ONCE]]
-            a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            b += self.b.encode([x[1:] for x in part], num_threads=1)
-        of_a, of_b = self.bytes_a, self.bytes_b
-        ok = [b"".join([of_a[i] for i in x]) == t and b"".join([of_b[i] for i in y]) == t for x, y, t in zip(a, b, texts, strict=True)]
-        return [x if o else [] for x, o in zip(a, ok, strict=True)], [x if o else [] for x, o in zip(b, ok, strict=True)], ok
+    def _told(self, joined: list[bytes]) -> list[tuple[list[int], list[int]] | None]:
+        """Both tokenizers' ids of texts that begin with a blank; None where either's bytes are others."""
+        strings = [x.decode() for x in joined]
+        a = [e.ids for e in self.a.encode_batch_fast(strings, add_special_tokens=False)]
+        b = self.b.encode([x[1:] for x in strings], num_threads=1)
+        of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        return [(x, y) if b"".join(map(of_a, x)) == t and b"".join(map(of_b, y)) == t else None for x, y, t in zip(a, b, joined, strict=True)]
+
+    def _encoded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of both tokenizers over the pieces ``texts`` in order, and which pieces are told right; the others have none.
+
+        Pieces are encoded _JOINED at a time, as far as both tokenizers surely cut between them.
+        """
+        own = [0]
+        for k in range(1, len(texts)):
+            if k - own[-1] >= _JOINED or texts[k - 1][-1] == 32 or not _SURE[texts[k][1]]:
+                own.append(k)
+        own.append(len(texts))
+        ids_a, ids_b, ok = [], [], np.ones(len(texts), dtype=bool)
+        for c in range(0, len(own) - 1, _AT_ONCE):
+            spans = list(zip(own[c:c + _AT_ONCE], own[c + 1:c + _AT_ONCE + 1]))
+            for (i, j), ids in zip(spans, self._told([b"".join(texts[i:j]) for i, j in spans]), strict=True):
+                for k, one in ([(i, ids)] if ids else zip(range(i, j), self._told(texts[i:j]), strict=True)):
+                    if one:
+                        ids_a += one[0]
+                        ids_b += one[1]
+                    else:
+                        ok[k] = False
+        return np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64), ok
 
     def _learnt(self, texts: list[bytes]) -> tuple[dict, dict, list]:
-        a, b, ok = self.encoded(texts)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        ids_a, ids_b = (np.fromiter((i for x in v for i in x), np.int64, int(n.sum())) for v, n in ((a, n_a), (b, n_b)))
+        ids_a, ids_b, ok = self._encoded(texts)
         # places in the run of all pieces that are told right: equal for both
         ends_a, ends_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
         starts_a, starts_b = ends_a - self.len_a[ids_a], ends_b - self.len_b[ids_b]
+        bounds = np.append(0, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) * ok))
+        first_a, first_b = (np.searchsorted(x, bounds, side="right") for x in (ends_a, ends_b))
+        n_a, n_b = np.diff(first_a), np.diff(first_b)
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
         left = np.searchsorted(ends_b, starts_a, side="right")
         links = np.searchsorted(starts_b, ends_a, side="left") - left
         begin = np.cumsum(links) - links
         other = np.repeat(left - begin, links) + np.arange(int(links.sum()))
         pairs = np.repeat(ids_a, links).astype(np.uint64) << np.uint64(32) | ids_b[other].astype(np.uint64)
-        first_a, first_b = (np.append(0, np.cumsum(n)) for n in (n_a, n_b))
         links_before = np.append(0, np.cumsum(links))
         n_pairs = np.diff(links_before[first_a])
-        # the number of ids of each group
-        size_a = np.diff(np.append(0, np.searchsorted(ends_a, cuts, side="right"))).tolist()
-        size_b = np.diff(np.append(0, np.searchsorted(ends_b, cuts, side="right"))).tolist()
-        of_piece = np.searchsorted(cuts, np.append(0, ends_a)[first_a], side="right")
-        n_groups = np.diff(of_piece)
-        names_a, names_b, written, g = self.name_a, self.name_b, [], 0
-        for x, y, k in zip(a, b, n_groups.tolist(), strict=True):
-            own, i, j = [], 0, 0
-            for g in range(g, g + k):
-                p, q = size_a[g], size_b[g]
-                own.append(f"{names_a[x[i]] if p == 1 else ','.join([names_a[t] for t in x[i:i + p]])}|"
-                           f"{names_b[y[j]] if q == 1 else ','.join([names_b[t] for t in y[j:j + q]])}")
-                i, j = i + p, j + q
-            g += k > 0
-            written.append(";".join(own).encode())
-        return {"pairs": (n_pairs, pairs)}, {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "ok": np.array(ok, np.int64)}, written
+        # the groups as text, and those of each piece
+        to_a, to_b = (np.searchsorted(x, cuts, side="right").tolist() for x in (ends_a, ends_b))
+        names_a, names_b = ([names[i] for i in ids.tolist()] for names, ids in ((self.name_a, ids_a), (self.name_b, ids_b)))
+        groups, i, j = [], 0, 0
+        for p, q in zip(to_a, to_b, strict=True):
+            groups.append(f"{names_a[i] if p == i + 1 else ','.join(names_a[i:p])}|{names_b[j] if q == j + 1 else ','.join(names_b[j:q])}")
+            i, j = p, q
+        of_piece = np.searchsorted(cuts, bounds, side="right")
+        n_groups, at = np.diff(of_piece), of_piece.tolist()
+        written = [";".join(groups[i:j]).encode() for i, j in zip(at[:-1], at[1:], strict=True)]
+        return {"pairs": (n_pairs, pairs)}, {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "ok": ok.astype(np.int64)}, written
 
     def aligned(self, text: W.Text) -> dict:
         """Of every row of sections: counts, groups as text, and its links' pairs; rows with an untrue piece are not ok and have none."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 
@@ -75,8 +76,7 @@ class Cache:
         """Slots of different ``keys``; ``learn`` gives pools, columns and objects of those at the places it gets."""
         if len(self._slot) + len(keys) > self.most:
             self._forget()
-        get = self._slot.get
-        at = np.fromiter((get(k, -1) for k in keys.tolist()), np.int64, len(keys))
+        at = np.array(list(map(self._slot.get, keys.tolist(), repeat(-1))), dtype=np.int64)
         new = np.flatnonzero(at < 0)
         if len(new):
             at[new] = len(self._slot) + np.arange(len(new))
