@@ -7,7 +7,7 @@ no shuffle, no grouping, no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehound.functions.scalar import EARTH_RADIUS_M
@@ -59,10 +59,18 @@ def polyline_length(poly) -> Column:
     return F.aggregate(segments(poly), F.lit(0.0), lambda acc, s: acc + s["len"])
 
 
-def cumulative_distance(poly) -> Column:
-    """Running distance at each vertex (first vertex 0), one pass per row."""
-    return F.aggregate(segments(poly), F.array(F.lit(0.0)),
-                       lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + s["len"])))
+def cumulative_distance(df: DataFrame, key: str, poly: str) -> DataFrame:
+    """One row per vertex, (key, vertex, lat, lon, distance_m), the running distance from the line's start.
+
+    The vertices of a line are taken apart and summed in a running window over ``key`` (one line
+    each), in proportion to their number: a line of very many vertices costs no more per vertex.
+    """
+    rows = df.select(key, F.posexplode(poly).alias("vertex", "_p"))
+    line = Window.partitionBy(key).orderBy("vertex")
+    back = F.lag("_p").over(line)
+    rows = rows.withColumn("_step", F.coalesce(_seg_len(back, F.col("_p")), F.lit(0.0)))
+    return rows.select(key, "vertex", F.col("_p.lat").alias("lat"), F.col("_p.lon").alias("lon"),
+                       F.sum("_step").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("distance_m"))
 
 
 def _interp(a: Column, b: Column, f: Column) -> Column:

@@ -4,37 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Ranges that the running count goes through first; a range of scores is one window of the second step.
-RANGES = 1000
+from lakehound.operators.ranks import running_total
 
 
 def auc_by_group(df: DataFrame, groups: Sequence[str], score: str, label: str,
                  name: str = "auc") -> DataFrame:
-    """ROC-AUC per group over the exact scores in 0 to 1 (Mann-Whitney: ties count one half).
+    """ROC-AUC per group over the exact scores (Mann-Whitney: ties count one half).
 
     1. count positives and negatives per (group, score) - partial aggregate;
-    2. running count of negatives below each score, in two steps so that no task
-       orders a whole group: over the totals of at most ``RANGES + 1`` score ranges,
-       then over the scores inside each range;
+    2. running count of negatives below each score over range-sorted rows: the ranges come from
+       a sample of the scores, so scores that crowd in one place are dealt out evenly;
     3. AUC = sum(pos * (neg_below + neg / 2)) / (P * N); NULL with one class.
     Rows without a score are left out.
     """
     g = (df.filter(F.col(score).isNotNull()).groupBy(*groups, F.col(score).alias("_score"))
-         .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
-         .withColumn("_range", F.floor(F.col("_score") * RANGES)))
-    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (g.groupBy(*groups, "_range").agg(F.sum("_neg").alias("_all"))
-              .select(*[F.col(c).alias(f"_of_{c}") for c in groups], F.col("_range").alias("_at"),
-                      F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_lower")))
-    same = F.col("_range") == F.col("_at")
-    for c in groups:
-        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    w = Window.partitionBy(*groups, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
-    g = (g.withColumn("_inside", F.coalesce(F.sum("_neg").over(w), F.lit(0))).join(ranges, same)
-         .withColumn("_below", F.col("_lower") + F.col("_inside")))
+         .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")))
+    g = running_total(g, groups, ["_score"], F.col("_neg"), "_below")
     out = g.groupBy(*groups).agg(
         F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") * 0.5)).alias("_u"),
         F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lakehound.functions import geo
 from lakehound.functions.scalar import link_id as make_link_id, parse_highway, parse_maxspeed
 from lakehound.operators.dedup import first_by_key
+from lakehound.operators.ranks import with_place
 
 # Per road type the default max speed (km/h) when the edge has none.
 ROAD_TYPES = [
@@ -91,15 +92,35 @@ def add_reverse_edges(edges: DataFrame) -> DataFrame:
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
-    """Per node with out-edges, its out-degree and number of distinct targets.
-
-    The adjacency itself stays an edge table keyed by ``src`` (no per-node
-    list), so a hub node does not become one huge row.
-    """
+    """A17, degrees: per node with out-edges, its out-degree and number of distinct targets."""
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"),
                                     F.countDistinct("dst").alias("n_targets"))
 
 
+#: Out-edges in one row of an adjacency list.
+LIST_EDGES = 1024
+
+
+def adjacency_lists(nodes: DataFrame, edges: DataFrame, most: int = LIST_EDGES) -> DataFrame:
+    """The out-edges of every node as lists, (node_id, chunk, n_edges, targets).
+
+    A list holds ``most`` edges at most; a hub goes over several chunks, numbered from 0. Edges
+    stand in the order of their link id (then target and the reversed copies), so the lists do not
+    depend on arrival. Nodes without out-edges have one empty list, as in a map filled with all
+    nodes first. No node's edges meet in one task: places come from a range sort.
+    ``targets``: array<struct<dst, link_id, road_type, maxspeed, poly>>.
+    """
+    e = edges if "is_reverse" in edges.columns else edges.withColumn("is_reverse", F.lit(False))
+    e = with_place(e, ["src"], ["link_id", "dst", "is_reverse"], "_place")
+    target = F.struct(F.col("_place"), "dst", "link_id", "road_type", "maxspeed", "poly")
+    lists = e.groupBy("src", F.floor(F.col("_place") / most).alias("chunk")).agg(F.array_sort(F.collect_list(target)).alias("targets"))
+    lists = lists.select("src", "chunk", F.transform("targets", lambda t: t.dropFields("_place")).alias("targets"))
+    none = F.array().cast(lists.schema["targets"].dataType)
+    return (nodes.select("node_id").join(lists, F.col("node_id") == F.col("src"), "left")
+            .select("node_id", F.coalesce("chunk", F.lit(0)).alias("chunk"), F.coalesce("targets", none).alias("targets"))
+            .select("node_id", "chunk", F.size("targets").alias("n_edges"), "targets"))
+
+
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Node count, edge count and total length in km, the edges read once."""
     nothing = F.lit(None).cast("double").alias("m")

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lakehound.operators.dedup import latest_by_key
+from lakehound.operators.metrics import auc_by_group
 from lakehound.plans import fraud_panels as P
 from lakehound.plans.catalog import register
 from lakehound.plans.evaluation import daily_model_runs
-from lakehound.functions.scalar import congestion_level
+from lakehound.functions.scalar import congestion_level, round_half_up
 from lakehound.plans.features import fraud_features
 from lakehound.plans.oracle import fraud
-from lakehound.plans.training import score_fraud, train_congestion, train_fraud
+from lakehound.plans.training import build_pipeline, score_fraud, stratified_split, train_congestion, train_fraud
+from lakehound.schemas import FRAUD_CATEGORICAL, FRAUD_NUMERIC
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
 
@@ -77,6 +81,57 @@ def _fraud_feats(spark, sf_dir):
     return t, tx, fraud_features(latest)
 
 
+@register("split_counts", fraud("""
+, sizes AS (SELECT is_fraud, count(*) AS n FROM transactions GROUP BY 1),
+whole AS (SELECT *, floor(0.2::DOUBLE * n)::BIGINT AS w, ceil(0.2::DOUBLE * sum(n) OVER ()) - sum(floor(0.2::DOUBLE * n)) OVER () AS more FROM sizes),
+sides AS (SELECT is_fraud, w + CASE WHEN row_number() OVER (ORDER BY 0.2::DOUBLE * n - w DESC, is_fraud) <= more THEN 1 ELSE 0 END AS k FROM whole),
+placed AS (SELECT t.is_fraud, t.id, row_number() OVER (PARTITION BY t.is_fraud ORDER BY md5(t.tx_uuid || ':42'), t.tx_uuid) <= k AS test
+  FROM transactions t JOIN sides s ON s.is_fraud = t.is_fraud)
+SELECT is_fraud, count(*) FILTER (NOT test) AS n_train, count(*) FILTER (test) AS n_test,
+  CAST(sum(id) FILTER (test) AS BIGINT) AS test_ids FROM placed GROUP BY is_fraud"""))
+def split_counts(spark, sf_dir):
+    """M3: rows of both sides per class, and the sum of the test rows' ids."""
+    _, _, feats = _fraud_feats(spark, sf_dir)
+    sides = [d.withColumn("test", F.lit(t)) for d, t in zip(stratified_split(feats, "is_fraud", "tx_uuid"), (False, True), strict=True)]
+    return sides[0].unionByName(sides[1]).groupBy("is_fraud").agg(
+        F.count_if(~F.col("test")).alias("n_train"), F.count_if("test").alias("n_test"),
+        F.sum(F.when(F.col("test"), F.col("tx_uuid").cast("long"))).alias("test_ids"))
+
+
+@register("eval_auc", fraud("""
+, s AS (SELECT fraud_probability AS p, count(*) FILTER (is_fraud = 1) AS pos, count(*) FILTER (is_fraud = 0) AS neg
+  FROM predictions JOIN transactions USING (tx_uuid) GROUP BY 1),
+b AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT CAST(round(CAST(sum(pos * (below + neg / 2.0)) / (sum(pos)::DOUBLE * sum(neg)) AS DECIMAL(38,10)), 6) AS DOUBLE) AS auc,
+  CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives FROM b"""))
+def eval_auc(spark, sf_dir):
+    """M6: ROC-AUC of all stored scores, exact."""
+    t = Tables(spark, sf_dir)
+    tx = X.transactions(t)
+    scored = X.predictions(t, tx).join(tx.select("tx_uuid", "is_fraud"), "tx_uuid")
+    return auc_by_group(scored, [], "fraud_probability", "is_fraud").select(round_half_up("auc", 6).alias("auc"), "positives", "negatives")
+
+
+def _onehot_sql() -> str:
+    blocks = ", ".join(f"dense_rank() OVER (ORDER BY {c}) AS {c}_at" for c in FRAUD_CATEGORICAL)
+    return f"SELECT tx_uuid, {blocks}, (SELECT {' + '.join(f'count(DISTINCT {c})' for c in FRAUD_CATEGORICAL)} FROM transactions) + {len(FRAUD_NUMERIC)} AS n_features FROM transactions"
+
+
+@register("onehot_features", fraud(_onehot_sql()))
+def onehot_features(spark, sf_dir):
+    """M1/M2: where each category's one stands in its block of the assembled vector, and the vector's length."""
+    _, _, feats = _fraud_feats(spark, sf_dir)
+    stages = build_pipeline(FRAUD_CATEGORICAL, FRAUD_NUMERIC, "is_fraud").getStages()[:-1]
+    model = Pipeline(stages=stages).fit(feats)
+    vector = vector_to_array("features")
+    out = model.transform(feats).withColumn("_v", vector)
+    start, columns = 0, []
+    for c, labels in zip(FRAUD_CATEGORICAL, model.stages[0].labelsArray, strict=True):
+        columns.append(F.array_position(F.slice("_v", start + 1, len(labels)), F.lit(1.0)).alias(f"{c}_at"))
+        start += len(labels)
+    return out.select("tx_uuid", *columns, F.size("_v").cast("long").alias("n_features"))
+
+
 @register("train_fraud_model")
 def train_fraud_model(spark, sf_dir):
     """M3/M4/M6: train on the whole feature set; one row of run metrics."""

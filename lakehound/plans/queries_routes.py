@@ -114,6 +114,32 @@ def q_route_adjacency(spark, sf_dir):
     return G.adjacency(e)
 
 
+#: Out-edges in one list of the registered query: small enough that many nodes need several.
+LIST_EDGES = 16
+
+
+@register("graph_adjacency", road(EDGES_SQL + f""",
+placed AS (SELECT src, dst, link_id, row_number() OVER (PARTITION BY src ORDER BY link_id, dst) - 1 AS place FROM edges)
+SELECT g.link_id AS node_id, coalesce(p.place // {LIST_EDGES}, 0) AS chunk, count(p.link_id) AS n_edges,
+  coalesce(string_agg(p.dst || ':' || p.link_id, ',' ORDER BY p.place), '') AS targets
+FROM link_geo g LEFT JOIN placed p ON p.src = g.link_id GROUP BY 1, 2"""))
+def q_graph_adjacency(spark, sf_dir):
+    """Adjacency lists of all nodes, hubs over several rows."""
+    _, lg, e = _edges(spark, sf_dir)
+    lists = G.adjacency_lists(route_nodes(lg), e, LIST_EDGES)
+    written = F.array_join(F.transform("targets", lambda t: F.concat_ws(":", t["dst"], t["link_id"])), ",")
+    return lists.select("node_id", "chunk", F.col("n_edges").cast("long").alias("n_edges"), written.alias("targets"))
+
+
+@register("route_cumulative", road(EDGES_SQL + """
+SELECT link_id, v.k AS vertex, round(CASE v.k WHEN 0 THEN 0.0 WHEN 1 THEN s1 WHEN 2 THEN s1 + s2 ELSE s1 + s2 + s3 END, 3) AS distance_m
+FROM segs, range(0, 4) v(k)"""))
+def q_route_cumulative(spark, sf_dir):
+    """Running distance at every vertex of every edge."""
+    _, _, e = _edges(spark, sf_dir)
+    return geo.cumulative_distance(e, "link_id", "poly").select("link_id", "vertex", F.round("distance_m", 3).alias("distance_m"))
+
+
 @register("route_point_after_minute", road(EDGES_SQL + """,
 walk AS (
   SELECT link_id, speed_kmh * 1000.0 / 60.0 AS d, * EXCLUDE (link_id) FROM segs

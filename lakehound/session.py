@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Sizes are per-partition targets: AQE coalesces
 # small shuffle partitions and splits skewed ones, so the static partition count
@@ -77,3 +77,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir()
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

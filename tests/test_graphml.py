@@ -102,14 +102,23 @@ def test_point_at(spark):
                     geo.point_at("poly", F.lit(L1 / 2)).alias("b"),
                     geo.point_at("poly", F.lit(L1 + L2 / 2)).alias("c"),
                     geo.point_at("poly", F.lit(L1 + 2 * L2)).alias("d"),
-                    geo.polyline_length("poly").alias("len"),
-                    geo.cumulative_distance("poly").alias("cum")).first()
+                    geo.polyline_length("poly").alias("len")).first()
     assert (out.a.lat, out.a.lon) == (35.0, 135.0)
     assert abs(out.b.lon - 135.005) < 1e-9
     assert abs(out.c.lat - 35.005) < 1e-9
     assert abs(out.d.lat - 35.02) < 1e-9  # extrapolated past the end
     assert abs(out.len - (L1 + L2)) < 1e-6
-    assert [round(x, 6) for x in out.cum] == [0.0, round(L1, 6), round(L1 + L2, 6)]
+    cum = geo.cumulative_distance(df.withColumn("i", F.lit(1)), "i", "poly").orderBy("vertex").collect()
+    assert [round(r.distance_m, 6) for r in cum] == [0.0, round(L1, 6), round(L1 + L2, 6)]
+
+
+def test_cumulative_distance_of_a_very_long_line(spark):
+    n = 100_000
+    line = spark.range(2).select("id", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: geo.point(k / 10_000 - 45, F.lit(7.0))).alias("poly"))
+    got = geo.cumulative_distance(line, "id", "poly")
+    step = hav((0.0, 7.0), (1 / 10_000, 7.0))
+    last = got.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("distance_m").alias("m"), F.max_by("distance_m", "vertex").alias("end")).collect()
+    assert all(r.n == n and r.m == r.end and abs(r.m - step * (n - 1)) < 1 for r in last)
 
 
 def test_parse_linestring_bad(spark):
