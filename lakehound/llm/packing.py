@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from lakehound.llm import words as W
+from lakehound.llm.pieces import Cache
 from lakehound.llm.shared import saved
 
 LENGTH = 2048
@@ -35,7 +36,8 @@ TIE_BITS = 15
 SAMPLE_DOCS, RANGES = 8192, 4
 #: Different text pieces whose ids a worker remembers.
 CACHE_PIECES = 500_000
-_ENCODED_AT_ONCE = 4096
+#: Pieces encoded as one text, and such texts at once.
+_JOINED, _ENCODED_AT_ONCE = 32, 256
 
 #: Pieces start where no token of a byte-level BPE can reach across: at a blank before a byte that is surely no white
 #: space, after an ASCII letter before an ASCII byte that is none, and before an ASCII letter after an ASCII byte that is
@@ -59,21 +61,12 @@ class Pieces:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.signs = _signs(self.tokenizer.get_vocab_size())
-        self._clear()
-
-    def _clear(self, stay: np.ndarray | None = None) -> None:
-        """Forget all pieces but those at the places ``stay``."""
-        if stay is None or not len(stay):
-            self.keys, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-            self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            self.pool = np.zeros(0, np.uint32)
-            return
-        count, first = self.count[stay], self.first[stay]
-        begin = np.append(0, np.cumsum(count))
-        self.pool = self.pool[np.repeat(first - begin[:-1], count) + np.arange(begin[-1])]
-        self.keys, self.first, self.count = self.keys[stay], begin[:-1], count
-        self.used = np.zeros(len(stay), np.int32)
+        size = self.tokenizer.get_vocab_size()
+        added = {i: len(x.content.encode()) for i, x in self.tokenizer.get_added_tokens_decoder().items()}
+        # a byte-level token has a letter for each byte
+        self.sizes = np.array([added.get(i, len(self.tokenizer.id_to_token(i) or "")) for i in range(size)], dtype=np.int64)
+        self.signs = _signs(size)
+        self.cache = Cache(CACHE_PIECES, {"ids": np.uint32})
 
     def ids(self, text: W.Text) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and where each row's begin."""
@@ -93,40 +86,29 @@ class Pieces:
         ends = np.append(starts[1:], n)
         keys = W.spans_hash(data, starts, ends)
         different, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        at = self._remembered(different, raw, starts[where], ends[where])[back]
-        lengths = self.count[at]
-        begin = np.zeros(len(at) + 1, dtype=np.int64)
-        np.cumsum(lengths, out=begin[1:])
-        flat = self.pool[np.repeat(self.first[at] - begin[:-1], lengths) + np.arange(begin[-1])]
+        first, last = starts[where], ends[where]
+        at = self.cache.places(different, lambda new: ({"ids": self._encoded([raw[a:b] for a, b in zip(first[new].tolist(), last[new].tolist(), strict=True)])}, {}, []))
+        flat, begin = self.cache.runs("ids", at[back])
         return flat, begin[np.searchsorted(starts, text.offsets)]
 
-    def _remembered(self, keys: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Places of sorted ``keys`` in the cache, which learns the missing ones."""
-        if len(self.keys) + len(keys) > CACHE_PIECES:
-            again = np.flatnonzero(self.used > 1)
-            self._clear(again if 2 * len(again) < CACHE_PIECES else None)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), dtype=bool)
-        if new.any():
-            lists = self._encoded(raw, starts[new].tolist(), ends[new].tolist())
-            count = np.fromiter(map(len, lists), np.int64, len(lists))
-            first = len(self.pool) + np.append(0, np.cumsum(count)[:-1])
-            self.pool = np.append(self.pool, np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum())))
-            every = np.append(self.keys, keys[new])
-            order = np.argsort(every, kind="stable")
-            self.keys = every[order]
-            self.first, self.count = np.append(self.first, first)[order], np.append(self.count, count)[order]
-            self.used = np.append(self.used, np.zeros(len(count), np.int32))[order]
-            at = np.searchsorted(self.keys, keys)
-        self.used[at] += 1
-        return at
-
-    def _encoded(self, raw: bytes, starts: list[int], ends: list[int]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for k in range(0, len(starts), _ENCODED_AT_ONCE):
-            texts = [raw[a:b].decode() for a, b in zip(starts[k:k + _ENCODED_AT_ONCE], ends[k:k + _ENCODED_AT_ONCE], strict=True)]
-            out += [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return out
+    def _encoded(self, pieces: list[bytes], joined: int = _JOINED) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece has, and all ids; pieces that begin with a blank are encoded several at a time."""
+        own = [0]
+        for k in range(1, len(pieces)):
+            if k - own[-1] >= joined or pieces[k][0] != 32 or len(pieces[k]) < 2 or not _SURE[pieces[k][1]]:
+                own.append(k)
+        own.append(len(pieces))
+        texts = [b"".join(pieces[i:j]).decode() for i, j in zip(own[:-1], own[1:], strict=True)]
+        lists = []
+        for k in range(0, len(texts), _ENCODED_AT_ONCE):
+            lists += [e.ids for e in self.tokenizer.encode_batch_fast(texts[k:k + _ENCODED_AT_ONCE], add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
+        ends = np.cumsum(self.sizes[flat])
+        bounds = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        behind = np.searchsorted(ends, bounds, side="right")
+        if joined > 1 and not np.array_equal(np.append(0, ends)[behind], bounds):
+            return self._encoded(pieces, 1)
+        return np.diff(behind, prepend=0), flat
 
 
 def _signs(vocabulary: int) -> np.ndarray:
@@ -266,10 +248,10 @@ def pieces_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     share = SAMPLE_DOCS / max(1, docs.count())
     some = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 30)) < int(share * (1 << 30)))
     ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    weights = [x / ranges for x in range(1, ranges)]
-    bounds = some.mapInArrow(_tokenized(tokenizer, np.zeros(0, np.int64)), T.StructType(fields)).select(
-        F.percentile("key", F.array(*map(F.lit, weights))).alias("b")).first().b if weights else None
-    bounds = np.unique(np.array(bounds or [], dtype=np.float64)).astype(np.int64)
+    # longs as they are: a double would lose the bits that deal equal documents out
+    sampled = some.mapInArrow(_tokenized(tokenizer, np.zeros(0, np.int64)), T.StructType(fields)).select("key").toArrow()["key"].to_numpy()
+    places = np.arange(1, ranges) * len(sampled) // ranges
+    bounds = np.unique(np.sort(sampled)[places]) if len(sampled) else np.zeros(0, np.int64)
     tokens = rows.mapInArrow(_tokenized(tokenizer, bounds), T.StructType(fields))
     sorted_ = tokens.repartition("part").sortWithinPartitions("part", "key", "doc_id").drop("key")
     placed = T.StructType([*sorted_.schema.fields, T.StructField("local", T.LongType())])
