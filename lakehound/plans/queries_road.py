@@ -7,6 +7,10 @@ Stored data is replayed, so windows end at the newest stored position
 
 from __future__ import annotations
 
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
 from lakehound.operators import aggregates as A
 from lakehound.plans import road_panels as R
 from lakehound.plans.catalog import register
@@ -15,9 +19,9 @@ from lakehound.plans.oracle import road, road_pred
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
 
-SEEN = "7 DAYS"
-ROLLING = "90 DAYS"
-FRESH = "7 DAYS"
+SEEN_DAYS, ROLLING_DAYS = 7, 90
+SEEN = FRESH = f"{SEEN_DAYS} DAYS"
+ROLLING = f"{ROLLING_DAYS} DAYS"
 AS_OF_SQL = "(SELECT max(created_at) FROM vehicle_positions)"
 
 
@@ -26,6 +30,22 @@ def _pos(spark, sf_dir):
     return t, X.vehicle_positions(t)
 
 
+def _window(spark, sf_dir, days: int):
+    """The stored positions of the last ``days`` and the time they are seen from, which the manifest knows."""
+    t = Tables(spark, sf_dir)
+    snap = X.stored_positions(t)
+    as_of = snap.as_of()
+    return t, snap.read(as_of - timedelta(days=days) if as_of else None), F.lit(as_of)
+
+
+@register("snapshot_positions", road("""
+SELECT id, pos_uuid, vehicle_id, latitude, longitude, speed_kmh, link_id, road_type, maxspeed,
+  sim_hour, sim_dow, created_at FROM vehicle_positions"""))
+def snapshot_positions(spark, sf_dir):
+    """The snapshot after a bulk load and two folded batches, equal to the dedup of all rows."""
+    return X.stored_positions(Tables(spark, sf_dir)).read().drop("tie")
+
+
 @register("latest_positions", road("""
 SELECT id, pos_uuid, vehicle_id, latitude, longitude, speed_kmh, link_id, road_type, maxspeed,
   sim_hour, sim_dow, created_at FROM vehicle_positions"""))
@@ -53,8 +73,8 @@ def position_count(spark, sf_dir):
 SELECT count(DISTINCT vehicle_id) AS vehicles FROM vehicle_positions
 WHERE created_at > {AS_OF_SQL} - INTERVAL {SEEN}"""))
 def active_vehicles(spark, sf_dir):
-    _, pos = _pos(spark, sf_dir)
-    return R.active_vehicles(pos, "max", SEEN)
+    _, pos, as_of = _window(spark, sf_dir, SEEN_DAYS)
+    return R.active_vehicles(pos, as_of, SEEN)
 
 
 @register("congested_links", road(f"""
@@ -63,8 +83,8 @@ SELECT count(*) AS congested_links FROM (
   WHERE created_at > {AS_OF_SQL} - INTERVAL {ROLLING}
   GROUP BY link_id HAVING count(*) >= 10 AND avg(speed_kmh) < 12) c"""))
 def congested_links(spark, sf_dir):
-    _, pos = _pos(spark, sf_dir)
-    return R.congested_links(pos, "max", ROLLING, 10)
+    _, pos, as_of = _window(spark, sf_dir, ROLLING_DAYS)
+    return R.congested_links(pos, as_of, ROLLING, 10)
 
 
 _LINK_CONGESTION_SQL = f"""
@@ -77,8 +97,8 @@ _LINK_CONGESTION_SQL = f"""
 
 @register("link_congestion", road(_LINK_CONGESTION_SQL))
 def link_congestion(spark, sf_dir):
-    _, pos = _pos(spark, sf_dir)
-    return R.link_congestion(pos, "max", ROLLING, FRESH, 10)
+    _, pos, as_of = _window(spark, sf_dir, ROLLING_DAYS)
+    return R.link_congestion(pos, as_of, ROLLING, FRESH, 10)
 
 
 @register("congestion_map", road(f"""
@@ -86,8 +106,8 @@ SELECT g.mid_lat AS latitude, g.mid_lon AS longitude, g.bearing AS bearing, c.co
   c.n AS n, c.avg_speed AS avg_speed, c.link_id AS link_id
 FROM ({_LINK_CONGESTION_SQL}) c JOIN link_geo g USING (link_id)"""))
 def congestion_map(spark, sf_dir):
-    t, pos = _pos(spark, sf_dir)
-    return R.congestion_map(pos, X.link_geo(t), "max", ROLLING, FRESH, 10)
+    t, pos, as_of = _window(spark, sf_dir, ROLLING_DAYS)
+    return R.congestion_map(pos, X.link_geo(t), as_of, ROLLING, FRESH, 10)
 
 
 @register("congestion_map_all_links", road(f"""
@@ -95,8 +115,8 @@ SELECT g.mid_lat AS latitude, g.mid_lon AS longitude, g.bearing AS bearing, c.co
   c.n AS n, c.avg_speed AS avg_speed, g.link_id AS link_id
 FROM link_geo g LEFT JOIN ({_LINK_CONGESTION_SQL}) c ON g.link_id = c.link_id"""))
 def congestion_map_all_links(spark, sf_dir):
-    t, pos = _pos(spark, sf_dir)
-    return R.congestion_map(pos, X.link_geo(t), "max", ROLLING, FRESH, 10, all_links=True)
+    t, pos, as_of = _window(spark, sf_dir, ROLLING_DAYS)
+    return R.congestion_map(pos, X.link_geo(t), as_of, ROLLING, FRESH, 10, all_links=True)
 
 
 @register("last_position", road(f"""
@@ -106,8 +126,8 @@ SELECT vehicle_id, latitude, longitude, speed_kmh, link_id FROM (
   FROM vehicle_positions WHERE created_at > {AS_OF_SQL} - INTERVAL {SEEN}) x
 WHERE rn = 1"""))
 def last_position(spark, sf_dir):
-    _, pos = _pos(spark, sf_dir)
-    return R.last_position(pos, "max", SEEN)
+    _, pos, as_of = _window(spark, sf_dir, SEEN_DAYS)
+    return R.last_position(pos, as_of, SEEN)
 
 
 @register("speed_by_road_type", road("""

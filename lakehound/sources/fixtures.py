@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from lakehound.functions.scalar import congestion_level
 from lakehound.operators.dedup import latest_by_key
+from lakehound.session import shared_dir
+from lakehound.sources.snapshots import Snapshot, snapshot
 from lakehound.sources.tables import Tables
 
 # Fixed values of the stand-in rules (shared with the oracle SQL).
@@ -114,6 +116,25 @@ def vehicle_positions(t: Tables) -> DataFrame:
     return latest_by_key(vehicle_positions_raw(t), ["pos_uuid"], position_order()).drop("tie")
 
 
+_snapshots: dict[tuple, Snapshot] = {}
+
+
+def stored_positions(t: Tables) -> Snapshot:
+    """The positions table kept as a snapshot by month: bulk load, then two batches of changes, folded one by one.
+
+    Built once for a session and set of input files; panels read the ranges they need.
+    """
+    raw = vehicle_positions_raw(t)
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, *t.lineitem.inputFiles(), *t.part.inputFiles())
+    if key not in _snapshots:
+        snap = snapshot(t.spark, shared_dir(t.spark, "positions"), raw, ["pos_uuid"], position_order(), "created_at")
+        for late in (F.col("id") % 50 > 1, F.col("id") % 50 == 1, F.col("id") % 50 == 0):
+            snap.append(raw.filter(late))
+            snap.fold()
+        _snapshots[key] = snap
+    return _snapshots[key]
+
+
 def link_geo(t: Tables) -> DataFrame:
     """Link dimension: one fixed midpoint and bearing per link (supplier)."""
     s = F.col("s_suppkey")
