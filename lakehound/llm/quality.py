@@ -1,7 +1,7 @@
 """Op 4: quality rules with cross-document line frequency.
 
 Lines are normalised (words in lower case, single blanks) and hashed; for each
-host the documents with different texts that hold a line are counted. Lines
+host the distinct documents (doc_ids) that hold a line are counted. Lines
 above the limit are boilerplate: they are taken out, and a document that has
 too few words left is rejected.
 """
@@ -105,15 +105,16 @@ def judge_quality(docs: DataFrame, host: str = "source", line_docs: int = LINE_D
     """Base measures and verdict of every row of ``docs`` (doc_id, text and the host column).
 
     Null and empty texts have no words and fail the base rules. A null host counts as one host.
-    Exact copies of a text count once in a line's documents; repeated rows are judged each.
+    A line's documents are its distinct doc_ids, copies of a text under other ids included; rows that
+    repeat a doc_id count once, as do all rows without one. Every row is judged.
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     and n_boilerplate_words, the words in lines above the limit.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col(host).alias("host"),
-                       F.xxhash64("text").alias("same"), F.arrow_udf(_measure_batches, SCHEMA)("text").alias("m"))
-    table = saved(rows.select("rid", "doc_id", "host", "same", "m.*"), "quality")
-    lines = table.select("rid", "host", "same", F.explode("lines").alias("x")).select("rid", "host", "same", "x.line", "x.words")
-    common = (lines.select("host", "line", "same").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+                       F.arrow_udf(_measure_batches, SCHEMA)("text").alias("m"))
+    table = saved(rows.select("rid", "doc_id", "host", "m.*"), "quality")
+    lines = table.select("rid", "doc_id", "host", F.explode("lines").alias("x")).select("rid", "doc_id", "host", "x.line", "x.words")
+    common = (lines.select("host", "line", "doc_id").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
               .filter(F.col("n") > line_docs).select(F.col("host").alias("h"), F.col("line").alias("l")))
     removed = (lines.join(common, (F.col("line") == F.col("l")) & F.col("host").eqNullSafe(F.col("h")), "left_semi")
                .groupBy("rid").agg(F.sum("words").alias("n_boilerplate_words")))

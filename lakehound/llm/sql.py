@@ -32,7 +32,7 @@ base AS (SELECT d.rid, d.doc_id, len(ws) AS n_words,
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM d JOIN w USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN covered USING (rid)),
-common AS (SELECT source, norm FROM full_lines JOIN d USING (rid) GROUP BY source, norm HAVING count(DISTINCT text) > 20),
+common AS (SELECT source, norm FROM full_lines JOIN d USING (rid) GROUP BY source, norm HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '-')) > 20),
 gone AS (SELECT f.rid, sum(n) AS n_boilerplate_words FROM full_lines f JOIN d USING (rid)
   JOIN common c ON c.source IS NOT DISTINCT FROM d.source AND c.norm = f.norm GROUP BY f.rid),
 j AS (SELECT base.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

@@ -118,6 +118,19 @@ def test_boilerplate_depletes_only_its_documents(spark):
     assert got[99] and not any(got[i] for i in range(30))
 
 
+def test_boilerplate_counts_distinct_documents(spark):
+    """Copies under other doc_ids count for a line, rows that repeat a doc_id do not."""
+    def text(k):
+        return f"the very same line of {k} in each of these documents and nothing else here"
+
+    rows = [(i, text("copies"), "h", 1) for i in range(21)] + [(100, text("repeats"), "h", 1)] * 30 + [(200 + i, text("few"), "h", 1) for i in range(20)]
+    rows += [(300 + i, text("hosts"), f"h{i % 2}", 1) for i in range(40)] + [(None, text("nameless"), "h", 1)] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, line int").repartition(4)
+    got = quality.judge_quality(docs).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id for r in got if not r.kept} == set(range(21))
+
+
 def _dedup_brute(rows):
     key = lambda x: _ascii_lower(x.strip(" \t\n\v\f\r"))
     holders = defaultdict(set)
