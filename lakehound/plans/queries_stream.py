@@ -19,43 +19,13 @@ from lakehound.session import shared_dir
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
 from lakehound.streaming.changes import parse_change, read_change_stream, with_event_time
+from lakehound.streaming.replay import END, files_per_batch, finished, stopped_and_resumed, write_in_order
 from lakehound.streaming.scorer import start
 from lakehound.streaming.windows import dedup_stream, link_congestion_stream, minute_counts_stream
 
 DELAY = "10 minutes"
 
 
-#: Batches of a replay; each holds a range of event time, so a batch never lags behind the watermark of the one before.
-SLICES, FILES = 8, 2
-END = "__end__"
-
-
-def _write_in_order(events, folder: str, end: str) -> None:
-    """Write (value, created_at) as text files whose modification order is that of event time.
-
-    ``end`` is a closing event, a day later: it lets the watermark pass all windows.
-    """
-    held = events.persist()
-    cuts = held.select(F.percentile_approx(F.unix_micros(F.col("created_at").cast("timestamp")), [k / SLICES for k in range(1, SLICES)])).first()[0] or []
-    at = F.unix_micros(F.col("created_at").cast("timestamp"))
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        part = held.filter((F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high))
-        part.select("value").repartition(FILES).write.mode("append").text(folder)
-    spark = events.sparkSession
-    last = held.agg(F.max("created_at").cast("timestamp_ntz").alias("t")).select(
-        F.format_string(end, F.date_format(F.col("t") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss")).alias("value"))
-    last.filter("value is not null").repartition(1).write.mode("append").text(folder)
-    held.unpersist()
-
-
-def _checked(q):
-    """Wait for the end of a replay; no row may have come too late."""
-    q.awaitTermination()
-    late = sum(s.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for s in p["stateOperators"])
-    if late:
-        raise RuntimeError(f"{late} rows came after the watermark")
-
-
 def _replay(spark, sf_dir, copies_every: int | None = None):
     """Write transactions as JSON change events; optionally repeat every n-th event."""
     root = shared_dir(spark, "stream")
@@ -66,8 +36,8 @@ def _replay(spark, sf_dir, copies_every: int | None = None):
                        "id", "created_at")
     if copies_every:
         events = events.unionByName(events.filter(F.col("id") % copies_every == 0))
-    _write_in_order(events, os.path.join(root, "in"), '{"tx_uuid": "' + END + '", "source": "' + END + '", "created_at": "%s"}')
-    stream = parse_change(read_change_stream(spark, {"kind": "files", "max_files": FILES,
+    write_in_order(events, os.path.join(root, "in"), '{"tx_uuid": "' + END + '", "source": "' + END + '", "created_at": "%s"}')
+    stream = parse_change(read_change_stream(spark, {"kind": "files", "max_files": files_per_batch(spark),
                                                      "path": os.path.join(root, "in")}),
                           FRAUD_EVENT_FULL)
     return root, with_event_time(stream)
@@ -82,7 +52,19 @@ def stream_minute_counts(spark, sf_dir):
     out = os.path.join(root, "out")
     q = start(minute_counts_stream(s, DELAY), os.path.join(root, "ckpt"), path=out,
               available_now=True)
-    _checked(q)
+    finished(q)
+    return spark.read.parquet(out).filter(F.col("source") != END).select(F.col("time").cast("timestamp_ntz").alias("time"),
+                                          "source", "events")
+
+
+@register("stream_resumed", fraud("""
+SELECT date_trunc('minute', created_at) AS time, source, count(*) AS events FROM transactions
+GROUP BY 1, 2"""))
+def stream_resumed(spark, sf_dir):
+    """The minute counts under a processing-time trigger, stopped after a batch and resumed from the checkpoint."""
+    root, s = _replay(spark, sf_dir)
+    out = os.path.join(root, "out")
+    stopped_and_resumed(lambda **how: start(minute_counts_stream(s, DELAY), os.path.join(root, "ckpt"), path=out, **how))
     return spark.read.parquet(out).filter(F.col("source") != END).select(F.col("time").cast("timestamp_ntz").alias("time"),
                                           "source", "events")
 
@@ -95,7 +77,7 @@ def stream_dedup(spark, sf_dir):
     out = os.path.join(root, "out")
     q = start(dedup_stream(s, "tx_uuid", DELAY).select("tx_uuid", "amount", "created_at"),
               os.path.join(root, "ckpt"), path=out, available_now=True)
-    _checked(q)
+    finished(q)
     return spark.read.parquet(out).filter(F.col("tx_uuid") != END).select(
         "tx_uuid", "amount", F.col("created_at").cast("timestamp_ntz").alias("created_at"))
 
@@ -113,13 +95,13 @@ def stream_link_congestion(spark, sf_dir):
     pos = X.vehicle_positions(Tables(spark, sf_dir))
     fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     events = pos.select(F.to_json(F.struct(*[F.col(c) for c in pos.columns]), fmt).alias("value"), "created_at")
-    _write_in_order(events, os.path.join(root, "in"), '{"pos_uuid": "' + END + '", "link_id": "' + END + '", "created_at": "%s"}')
+    write_in_order(events, os.path.join(root, "in"), '{"pos_uuid": "' + END + '", "link_id": "' + END + '", "created_at": "%s"}')
     s = with_event_time(parse_change(read_change_stream(
-        spark, {"kind": "files", "max_files": FILES, "path": os.path.join(root, "in")}), ROAD_EVENT))
+        spark, {"kind": "files", "max_files": files_per_batch(spark), "path": os.path.join(root, "in")}), ROAD_EVENT))
     out = os.path.join(root, "out")
     q = start(link_congestion_stream(s, "1 minute"), os.path.join(root, "ckpt"), path=out,
               available_now=True)
-    _checked(q)
+    finished(q)
     return spark.read.parquet(out).filter(F.col("link_id") != END).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),

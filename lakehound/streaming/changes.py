@@ -97,7 +97,11 @@ def with_event_time(df: DataFrame, text: str = "created_at", out: str = "created
     return df.withColumn(out, parse_ts(F.col(text)))
 
 
-# Row rules of the ingest and prediction APIs (P8), as (name, predicate) pairs.
+def _required(*columns: str) -> dict[str, str]:
+    return {f"has_{c}": f"{c} IS NOT NULL" for c in columns}
+
+
+# Row rules of the ingest and prediction APIs (P8), as (name, predicate) pairs. A column with a default may be NULL.
 FRAUD_RULES = {
     "amount_positive": "amount > 0",
     "label_0_1": "is_fraud IS NULL OR is_fraud BETWEEN 0 AND 1",
@@ -106,6 +110,8 @@ FRAUD_RULES = {
     "has_key": "tx_uuid IS NOT NULL",
     "has_time": "created_at IS NOT NULL",
 }
+#: With the columns that a full ingest request must bring.
+FRAUD_REQUEST_RULES = FRAUD_RULES | _required("user_id", "merchant_category", "country", "device", "latitude", "longitude", "source")
 ROAD_RULES = {
     "lat_range": "latitude BETWEEN -90 AND 90",
     "lon_range": "longitude BETWEEN -180 AND 180",
@@ -116,6 +122,12 @@ ROAD_RULES = {
     "has_key": "pos_uuid IS NOT NULL",
     "has_time": "created_at IS NOT NULL",
 }
+ROAD_REQUEST_RULES = ROAD_RULES | _required("vehicle_id", "link_id", "road_type")
+#: What a row needs to be scored by a stream.
+SCORE_RULES = {
+    "fraud": {k: FRAUD_RULES[k] for k in ("amount_positive", "has_key", "has_time")},
+    "congestion": ROAD_RULES,
+}
 PREDICT_RULES = {
     "amount_positive": "amount > 0",
     "hour_range": "hour BETWEEN 0 AND 23",
