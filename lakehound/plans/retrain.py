@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakehound.operators.dedup import latest_by_key
 from lakehound.plans import registry
 from lakehound.plans.features import congestion_features, fraud_features
-from lakehound.plans.training import train_congestion, train_fraud
+from lakehound.plans.training import MAX_DEPTH, N_TREES, train_congestion, train_fraud
 from lakehound.sources.sinks import read_features, write_features
 
 
@@ -25,7 +25,7 @@ class StepFailed(RuntimeError):
 
 
 def retrain(spark: SparkSession, rows: DataFrame, root: str, name: str = "fraud", kind: str = "fraud",
-            n_trees: int = 200, max_depth: int = 10, promote_on_tie: bool = True) -> dict:
+            n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, promote_on_tie: bool = True) -> dict:
     """Run features, train + register + alias challenger, then the promotion gate.
 
     ``kind`` is "fraud" (``rows`` are transactions, metric ROC-AUC) or "congestion" (vehicle positions, accuracy).
