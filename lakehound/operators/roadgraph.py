@@ -131,17 +131,17 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def link_geo(edges: DataFrame) -> DataFrame:
-    """One midpoint and bearing per link id, first-seen edge wins.
+    """One midpoint and bearing per link id, of the first edge that has it.
 
-    Forward edges come before reversed copies, then the smaller (src, dst).
+    Edges without a key of their own share a link id between the same two nodes. Forward edges come
+    before reversed copies, then the smaller (src, dst, edge key) and polyline, so the pick does not
+    depend on how the file is cut.
     """
     e = edges if "is_reverse" in edges.columns else edges.withColumn("is_reverse", F.lit(False))
     e = e.filter(F.size("poly") >= 2)
-    one = first_by_key(e.select("link_id", "is_reverse", "src", "dst", "poly"), ["link_id"],
-                       [F.col("is_reverse").asc(), F.col("src").asc(), F.col("dst").asc()])
+    order = ["is_reverse", "src", "dst", *(["edge_key"] if "edge_key" in e.columns else []), "poly"]
+    one = first_by_key(e.select("link_id", *order), ["link_id"], [F.col(c).asc() for c in order])
     mb = F.col("_mb")
     return geo.with_midpoint(one, "poly", "_mb").select(
         "link_id", mb["mid_lat"].alias("mid_lat"), mb["mid_lon"].alias("mid_lon"),
         mb["bearing"].alias("bearing"))
-
-

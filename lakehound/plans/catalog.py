@@ -28,5 +28,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from lakehound.plans import queries_fraud, queries_road, queries_routes  # noqa: F401
+    from lakehound.plans import queries_fraud, queries_graph, queries_road, queries_routes  # noqa: F401
     from lakehound.plans import queries_ingest, queries_ml, queries_registry, queries_stream  # noqa: F401

@@ -10,6 +10,9 @@ nodes and edges need no explode, join or shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,3 +88,41 @@ def graph_is_directed(spark: SparkSession, path: str) -> bool:
          .select(F.regexp_extract("value", r'edgedefault="(\w+)"', 1).alias("d"))
          .filter(F.col("d") != "").limit(1).collect())
     return not (v and v[0]["d"] == "undirected")
+
+
+def _escaped(c: Column) -> Column:
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(mark), F.lit(name))
+    return c
+
+
+def write_graphml(nodes: DataFrame, edges: DataFrame, folder: str, directed: bool = True) -> None:
+    """Write a road graph as a folder of GraphML documents, one element a line; NULL attributes are left out.
+
+    ``nodes``: node_id, lat, lon. ``edges``: src, dst, edge_key, geometry, highway, maxspeed_raw (texts).
+    """
+    def data(key: str, column: str) -> Column:
+        return F.concat(F.lit(f'<data key="{key}">'), _escaped(F.col(column).cast("string")), F.lit("</data>"))
+
+    def given(name: str, column: str) -> Column:
+        return F.concat(F.lit(f' {name}="'), _escaped(F.col(column).cast("string")), F.lit('"'))
+
+    used = (("lat", "node", "y"), ("lon", "node", "x"), ("geometry", "edge", "geometry"), ("highway", "edge", "highway"), ("maxspeed_raw", "edge", "maxspeed"))
+    head = ["<graphml>", *(f'<key id="{c}" for="{kind}" attr.name="{name}" attr.type="string"/>' for c, kind, name in used),
+            f'<graph edgedefault="{"directed" if directed else "undirected"}">']
+    parts = (nodes.select(F.concat(F.lit("<node"), given("id", "node_id"), F.lit(">"), F.concat_ws("", *[data(c, c) for c, kind, _ in used if kind == "node"]),
+                                   F.lit("</node>")).alias("value")),
+             edges.select(F.concat(F.lit("<edge"), F.concat_ws("", given("source", "src"), given("target", "dst"), given("id", "edge_key")), F.lit(">"),
+                                   F.concat_ws("", *[data(c, c) for c, kind, _ in used if kind == "edge"]), F.lit("</edge>")).alias("value")))
+    for part in parts:
+        part.mapInArrow(_document(head, ["</graph>", "</graphml>"]), "value string").write.mode("append").text(folder)
+
+
+def _document(head: list[str], foot: list[str]):
+    """Every partition as a document of its own."""
+    def document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": head})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], names=["value"])
+        yield pa.RecordBatch.from_pydict({"value": foot})
+    return document
