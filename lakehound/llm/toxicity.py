@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -35,12 +36,14 @@ CLASS_ROWS, CALIBRATION_ROWS = 12_000, 20_000
 MODEL_WORDS, MODEL_BIGRAMS = 1 << 18, 1 << 21
 #: Where counts of counts tell no discount, or one outside.
 LEAST_DISCOUNT, MOST_DISCOUNT = 0.1, 0.95
-#: Bigrams that a task holds before it sends the distinct ones, to 1024 buckets of words.
-HELD_PAIRS = 1 << 21
+#: Bigrams that a task holds before it sends the distinct ones; buckets for each shuffle partition that they are dealt to.
+HELD_PAIRS, BUCKETS = 1 << 20, 4
+#: Documents (about) whose words tell the frequent ones, and a frequent word's share of them.
+SAMPLE_DOCS, HOT_SHARE = 8192, 4096
 WINDOW, STRONG = 16, (1.5, 2.5)
 _BATCH_BYTES = 2 << 20
 SENT = T.StructType([T.StructField("bucket", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in ("words", "n", "before")]])
-WAYS = T.StructType([T.StructField("w", T.IntegerType()), T.StructField("ways", T.LongType())])
+WAYS = T.StructType([T.StructField("w", T.IntegerType()), T.StructField("ways", T.LongType()), T.StructField("kinds", T.LongType())])
 COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("before", "u", "w", "toxic")])
 
 
@@ -63,54 +66,84 @@ def _prior(value: np.ndarray, first: np.ndarray, of: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sent(keys: np.ndarray) -> pa.RecordBatch:
-    """One row for each bucket of words: its words, how many words precede each, and those."""
-    order = np.argsort((W.mix(keys >> np.uint64(32)) >> np.uint64(54)).astype(np.uint16), kind="stable")
-    keys = keys[order]
-    word = (keys >> np.uint64(32)).astype(np.uint32)
-    bucket = (W.mix(word.astype(np.uint64)) >> np.uint64(54)).astype(np.int32)
-    begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+def _sent(pairs: np.ndarray, hot: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row for each bucket: its words, how many words precede each, and those. ``pairs`` are sorted (word, word before it)."""
+    word = (pairs >> np.uint64(32)).astype(np.uint32)
+    # a frequent word's pairs are dealt by both words, all others by the word
+    bucket = W.mix(np.where(_among(word, hot), pairs, word.astype(np.uint64))) % np.uint64(buckets)
+    order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")
+    bucket, word, before = bucket[order].astype(np.int32), word[order], pairs[order].astype(np.uint32)
+    begin = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (bucket[1:] != bucket[:-1])))
     n = np.diff(np.append(begin, len(word))).astype(np.uint32)
     own = np.flatnonzero(np.append(True, bucket[begin][1:] != bucket[begin][:-1]))
     ends = np.append(own, len(begin))
     cut = np.append(begin, len(word))[ends]
-    before = keys.astype(np.uint32)
     parts = [[x[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)] for x, at in ((word[begin], ends), (n, ends), (before, cut))]
     return pa.RecordBatch.from_arrays([pa.array(bucket[begin][own], pa.int32()), *[pa.array(x, pa.binary()) for x in parts]], names=SENT.names)
 
 
-def _preceded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words before every word, by the word's bucket; a row's first word comes after 0."""
-    held, size = [], 0
+def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted ``table``."""
+    if not len(table):
+        return np.zeros(len(values), dtype=bool)
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
+
+
+def _preceded(hot: np.ndarray, buckets: int):
+    """The distinct words before every word, by buckets; a row's first word comes after 0."""
+    def preceded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for _, text in W.slices(batches, "text", _BATCH_BYTES):
+            value, first = _tokens(text)
+            held.append(np.unique(value.astype(np.uint64) << np.uint64(32) | _prior(value, first, value)))
+            size += len(held[-1])
+            if size > HELD_PAIRS:
+                yield _sent(np.unique(np.concatenate(held)), hot, buckets)
+                held, size = [], 0
+        if size:
+            yield _sent(np.unique(np.concatenate(held)), hot, buckets)
+    return preceded
+
+
+def _distinct(hot: np.ndarray, only: np.ndarray | None):
+    """(w, ways, kinds) of every bucket: how many different words of it precede w, for the words ``only`` and frequent ones;
+    with null w the bucket's different pairs and its words that are not frequent."""
+    def counted(run: list[np.ndarray]) -> pa.RecordBatch:
+        word, n = np.unique((np.unique(np.concatenate(run)) >> np.uint64(32)).astype(np.uint32), return_counts=True)
+        spread = _among(word, hot)
+        keep = spread | _among(word, only) if only is not None else np.ones(len(word), dtype=bool)
+        words = pa.concat_arrays([pa.array(word[keep].view(np.int32)), pa.array([None], pa.int32())])
+        kinds = np.append(np.zeros(int(keep.sum()), np.int64), int((~spread).sum()))
+        return pa.RecordBatch.from_arrays([words, pa.array(np.append(n[keep], n.sum())), pa.array(kinds)], names=WAYS.names)
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, last = [], None
+        for batch in batches:
+            for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                word, n, before = (np.frombuffer(x, np.uint32) for x in parts)
+                if bucket != last and run:
+                    yield counted(run)
+                    run = []
+                last = bucket
+                run.append(np.repeat(word, n).astype(np.uint64) << np.uint64(32) | before)
+        if run:
+            yield counted(run)
+    return distinct
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, text in W.slices(batches, "text", _BATCH_BYTES):
-        value, first = _tokens(text)
-        held.append(np.unique(value.astype(np.uint64) << np.uint64(32) | _prior(value, first, value)))
-        size += len(held[-1])
-        if size > HELD_PAIRS:
-            yield _sent(np.unique(np.concatenate(held)))
-            held, size = [], 0
-    if size:
-        yield _sent(np.unique(np.concatenate(held)))
-
+        word, n = np.unique(_tokens(text)[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int32)), pa.array(n)], names=["w", "n"])
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w, ways): how many different words precede w, of rows sorted by bucket."""
-    run, last = [], None
-
-    def counted() -> pa.RecordBatch:
-        word, n = np.unique((np.unique(np.concatenate(run)) >> np.uint64(32)).astype(np.uint32), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int32)), pa.array(n, pa.int64())], names=WAYS.names)
 
-    for batch in batches:
-        for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            word, n, before = (np.frombuffer(x, np.uint32) for x in parts)
-            if bucket != last and run:
-                yield counted()
-                run = []
-            last = bucket
-            run.append(np.repeat(word, n).astype(np.uint64) << np.uint64(32) | before)
-    if run:
-        yield counted()
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """Words that are more than one in HOT_SHARE of those of a sample (so at most HOT_SHARE); they only deal the work out."""
+    share = SAMPLE_DOCS / max(1, docs.count())
+    some = docs.filter(F.pmod(F.xxhash64(F.lit("hot"), F.col("doc_id")), F.lit(1 << 30)) < int(min(share, 1) * (1 << 30)))
+    counts = some.select("text").mapInArrow(_word_counts, "w int, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return np.sort(counts.filter(F.col("n") * HOT_SHARE > total).select("w").toArrow()["w"].to_numpy().view(np.uint32))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,14 +249,35 @@ def _discounts(rows: DataFrame) -> np.ndarray:
     return np.clip(one / np.maximum(one + 2 * two, 1), LEAST_DISCOUNT, MOST_DISCOUNT)
 
 
+def _ways(docs: DataFrame, only: np.ndarray | None = None) -> DataFrame:
+    """w, ways: the number of different words before every word (of ``only`` and frequent ones); with null w that of
+    different bigrams, and in ``kinds`` that of words.
+
+    Bigrams are made distinct by buckets of words; a frequent word's are spread over all buckets by the
+    word before it, and its counts added up.
+    """
+    spark = docs.sparkSession
+    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = _frequent(docs)
+    sent = docs.select("text").mapInArrow(_preceded(hot, buckets), SENT)
+    known = spark.sparkContext.broadcast(only)
+    parts = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda batches: _distinct(hot, known.value)(batches), WAYS)
+    ways = saved(parts.groupBy("w").agg(F.sum("ways").alias("ways"), F.sum("kinds").alias("kinds")), "continuations")
+    known.destroy()
+    spread = F.col("w").isin(hot.view(np.int32).tolist())
+    return ways.withColumn("kinds", F.when(F.col("w").isNull(), F.col("kinds") + ways.agg(F.count_if(spread)).scalar()))
+
+
 def continuations(docs: DataFrame) -> DataFrame:
-    """w, ways: the exact number of different words before every word of ``docs`` (text); the start of a row counts as one."""
-    sent = docs.select("text").mapInArrow(_preceded, SENT)
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_distinct, WAYS)
+    """w, ways: the exact number of different words before every word of ``docs`` (doc_id, text); the start of a row counts as one."""
+    return _ways(docs).filter("w is not null").select("w", "ways")
 
 
 def train(docs: DataFrame, sample: DataFrame) -> Model:
-    """Counts of all of ``docs`` (doc_id, text) with the class counts of ``sample`` (doc_id, toxic; bounded)."""
+    """Counts of all of ``docs`` (doc_id, text) with the class counts of ``sample`` (doc_id, toxic; bounded).
+
+    The driver gets the model's rows in order, 16 bytes a bigram, and nothing else that grows.
+    """
     rows = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id").select("text", "toxic")
     # c0, c1: in each class, the distinct words before a bigram, then those before a word
     pairs = saved(rows.mapInArrow(_counted, COUNTS).distinct().groupBy("u", "w").agg(
@@ -232,43 +286,35 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
     all_ = words.agg(*[f(c).alias(n + c) for c in ("c0", "c1") for f, n in ((F.sum, "t"), (lambda c: F.count_if(F.col(c) > 0), "k"))]).first()
     if not all_.tc0 or not all_.tc1:
         return Model(np.zeros(0, np.uint32), np.zeros((2, 0)), np.zeros((2, 0)), np.ones(2), np.zeros(0, np.uint64), np.zeros((2, 0)))
-    ways = saved(continuations(docs), "continuations")
-    corpus = ways.agg(F.sum("ways").alias("ways"), F.count(F.lit(1)).alias("v")).first()
     total, kinds, discount = np.array([all_.tc0, all_.tc1], float), np.array([all_.kc0, all_.kc1], float), _discounts(words)
-    own = _kept(words, MODEL_WORDS, "w").join(ways, "w").toArrow()
-    value = own["w"].to_numpy().astype(np.int32).view(np.uint32)
-    order = np.argsort(value)
-    value = value[order]
-    seen = np.stack([own["c0"].to_numpy(), own["c1"].to_numpy()])[:, order]
-    shared = (own["ways"].to_numpy()[order] + 1) / (corpus.ways + corpus.v)
-    low = discount * kinds / total
-    single = np.maximum(seen - discount[:, None], 0) / total[:, None] + low[:, None] * shared
+    unsigned = F.col("w").bitwiseXOR(F.lit(-1 << 31).cast("int"))
+    kept = saved(_kept(words, MODEL_WORDS, "w"), "kneser-ney-kept")
+    vocabulary = kept.select("w").orderBy(unsigned).toArrow()["w"].to_numpy().view(np.uint32)
+    ways = _ways(docs, vocabulary)
+    different, kinds_all = ways.filter("w is null").select("ways", "kinds").first()
     # a row's first word follows no word
     after = pairs.filter("u <> 0")
-    discount = _discounts(after)
+    after_discount = _discounts(after)
     sums = after.groupBy("u").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"))
-    parts = [F.coalesce(F.greatest(F.col(f"c{k}") - float(discount[k]), F.lit(0.0)) / F.nullif(F.col(f"n{k}"), F.lit(0)), F.lit(0.0)) for k in (0, 1)]
-    # the driver takes 16 bytes of each
-    two = _kept(after, MODEL_BIGRAMS, "u", "w").join(sums, "u").select("u", "w", *[x.cast("float").alias(f"d{k}") for k, x in enumerate(parts)]).toArrow()
-    left, right = (two[c].to_numpy().view(np.uint32) for c in ("u", "w"))
-    pair = left.astype(np.uint64) << np.uint64(32) | right
-    order = np.argsort(pair)
-    left, pair = left[order], pair[order]
-    direct = np.stack([two[c].to_numpy()[order] for c in ("d0", "d1")])
-    context = np.minimum(np.searchsorted(value, left), len(value) - 1)
-    ok = value[context] == left
-    if not ok.all():
-        pair, context, direct = pair[ok], context[ok], direct[:, ok]
+    parts = [F.coalesce(F.greatest(F.col(f"c{k}") - float(after_discount[k]), F.lit(0.0)) / F.nullif(F.col(f"n{k}"), F.lit(0)), F.lit(0.0)) for k in (0, 1)]
+    two = _kept(after, MODEL_BIGRAMS, "u", "w").join(kept.select(F.col("w").alias("u")), "u").join(sums, "u")
+    two = saved(two.select("u", "w", *[x.cast("float").alias(f"d{k}") for k, x in enumerate(parts)]), "kneser-ney-bigrams")
     # what discounts and bigrams that are not kept leave goes to the order below
-    back = 1 - np.stack([np.bincount(context, weights=direct[c], minlength=len(value)) for c in (0, 1)])
-    return Model(value, single.astype(np.float32), np.maximum(back, 1e-6).astype(np.float32), low / (corpus.ways + corpus.v),
-                 pair, direct)
-
+    left = two.groupBy(F.col("u").alias("w")).agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in ("d0", "d1")])
+    own = kept.join(ways.select("w", "ways"), "w").join(left, "w", "left").orderBy(unsigned).select(
+        "c0", "c1", "ways", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("d0", "d1")]).toArrow()
+    seen, back = (np.stack([own[c].to_numpy() for c in names]) for names in (("c0", "c1"), ("d0", "d1")))
+    shared = (own["ways"].to_numpy() + 1) / (different + kinds_all)
+    low = discount * kinds / total
+    single = np.maximum(seen - discount[:, None], 0) / total[:, None] + low[:, None] * shared
+    pair = F.shiftleft(F.col("u").cast("long"), 32).bitwiseOR(F.col("w").cast("long").bitwiseAND(F.lit((1 << 32) - 1)))
+    two = two.select(pair.alias("pair"), "d0", "d1").orderBy(F.col("pair").bitwiseXOR(F.lit(-1 << 63))).toArrow()
+    return Model(vocabulary, single.astype(np.float32), np.maximum(1 - back, 1e-6).astype(np.float32), low / (different + kinds_all),
+                 two["pair"].to_numpy().view(np.uint64), np.stack([two[c].to_numpy() for c in ("d0", "d1")]))
 
-def evidence(docs: DataFrame, model: Model) -> Column:
-    """struct<window, whole> of the text column."""
-    kept = docs.sparkSession.sparkContext.broadcast(model)
 
+def evidence(kept: Broadcast) -> Column:
+    """The evidence of the text column under a broadcast model."""
     @F.arrow_udf("struct<window: double, whole: double, root: double, strong: double, strongest: double, strong_root: double, strongest_root: double>")
     def measured(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
@@ -299,7 +345,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs, _share(known.filter("fold < 4"), CLASS_ROWS, "toxic"))
     calibrate = _share(known.filter("fold = 4"), CALIBRATION_ROWS)
     some = docs.select("doc_id", "text").join(F.broadcast(calibrate.select("doc_id", "toxic")), "doc_id")
-    found = evidence(docs, model)
+    kept = docs.sparkSession.sparkContext.broadcast(model)
+    del model
+    found = evidence(kept)
     seen = saved(some.select(F.col("toxic").cast("double").alias("label"), found.alias("e")).select("label", *_inputs("e")), "calibration")
     sizes = {r.label: r.n for r in seen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) == 2:
@@ -310,5 +358,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     else:
         score = F.lit(sizes.get(1.0, 0) / max(1, sum(sizes.values())))
     held = F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) == 0)
-    return docs.select("doc_id", held.alias("held_out"), found.alias("e")).withColumn("score", score).select(
-        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "e.*")
+    scored = saved(docs.select("doc_id", held.alias("held_out"), found.alias("e")).withColumn("score", score).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "e.*"), "toxicity")
+    kept.destroy()  # a session that scores many tables keeps no old models
+    return scored
