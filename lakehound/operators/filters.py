@@ -58,22 +58,21 @@ def recent(df: DataFrame, c, interval: str, as_of=None) -> DataFrame:
     return df.filter(_c(c) > ref - F.expr(f"INTERVAL {interval}"))
 
 
-def normalize_bbox(bbox: Sequence[float]) -> tuple[float, float, float, float]:
-    """Corners in any order -> (min_lat, min_lon, max_lat, max_lon)."""
-    a, b, c, d = (float(x) for x in bbox)
-    return min(a, c), min(b, d), max(a, c), max(b, d)
+def between(value: Column, ends: Sequence[float]) -> Column:
+    """``value`` lies between two ends, given in any order."""
+    return value.between(min(ends), max(ends))
 
 
 def bbox_filter(df: DataFrame, bbox, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Points inside the box; when none are, the whole input is returned.
+    """Points inside the box of two opposite corners (lat, lon, lat, lon); when none are, the whole input.
 
     The fallback is decided per row from a one-row flag (``exists`` as a
     scalar sub-query), so no count reaches the driver.
     """
     if bbox is None:
         return df
-    lo_lat, lo_lon, hi_lat, hi_lon = normalize_bbox(bbox)
-    inside = F.col(lat).between(lo_lat, hi_lat) & F.col(lon).between(lo_lon, hi_lon)
+    corners = [float(x) for x in bbox]
+    inside = between(F.col(lat), corners[0::2]) & between(F.col(lon), corners[1::2])
     any_inside = df.filter(inside).exists()
     return df.filter(inside | ~any_inside)
 

@@ -7,6 +7,8 @@ in the last bit, which these precisions hide.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from lakehound.functions import geo
@@ -14,7 +16,9 @@ from lakehound.operators import roadgraph as G
 from lakehound.plans.catalog import register
 from lakehound.plans.oracle import road
 from lakehound.plans.routes import route_edges, route_nodes
+from lakehound.session import shared_dir
 from lakehound.sources import fixtures as X
+from lakehound.sources.sinks import export_geojson
 from lakehound.sources.tables import Tables
 
 
@@ -167,3 +171,18 @@ def q_route_point_after_minute(spark, sf_dir):
     e = geo.with_point_at(e, "poly", F.col("speed_kmh") * 1000.0 / 60.0, "_p")
     return e.select("link_id", F.round(F.col("_p.lat"), 7).alias("lat"),
                     F.round(F.col("_p.lon"), 7).alias("lon"))
+
+
+@register("geojson_edges", road(EDGES_SQL + """
+SELECT link_id, road_type, 4 AS n_points, round(lon0, 7) AS first_lon, round(lat3, 7) AS last_lat FROM segs"""))
+def q_geojson_edges(spark, sf_dir):
+    """Edges exported as GeoJSON lines and read back."""
+    _, _, e = _edges(spark, sf_dir)
+    path = os.path.join(shared_dir(spark, "geojson"), "edges")
+    export_geojson(e, path)
+    line = "struct<type: string, coordinates: array<array<double>>>"
+    feature = F.from_json("value", f"struct<type: string, properties: struct<link_id: string, road_type: string>, geometry: {line}>")
+    f = spark.read.text(path).select(feature.alias("f")).filter("f.type = 'Feature' and f.geometry.type = 'LineString'")
+    at = F.col("f.geometry.coordinates")
+    return f.select("f.properties.link_id", "f.properties.road_type", F.size(at).alias("n_points"),
+                    F.round(F.element_at(at, 1)[0], 7).alias("first_lon"), F.round(F.element_at(at, -1)[1], 7).alias("last_lat"))

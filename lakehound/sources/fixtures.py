@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakehound.functions.scalar import congestion_level
 from lakehound.operators.dedup import latest_by_key
+from lakehound.schemas import TRANSACTIONS
 from lakehound.session import shared_dir
 from lakehound.sources.snapshots import Snapshot, snapshot
 from lakehound.sources.tables import Tables
@@ -159,3 +160,57 @@ def congestion_pred(t: Tables, pos: DataFrame | None = None) -> DataFrame:
         F.col("created_at").alias("event_time"),
         (F.col("created_at") + F.expr("INTERVAL 1 SECOND")).alias("scored_at"),
     )
+
+
+def requests(tx: DataFrame) -> DataFrame:
+    """Ingest requests as clients send them: transactions, some of which break a rule or lack a column."""
+    i = F.col("id")
+    return tx.select(
+        "id", F.when(i % 23 != 0, F.col("tx_uuid")).alias("tx_uuid"), F.when(i % 47 != 0, F.col("user_id")).alias("user_id"),
+        F.when(i % 17 == 0, -F.col("amount")).otherwise(F.col("amount")).alias("amount"),
+        F.when(i % 53 != 0, F.col("merchant_category")).alias("merchant_category"), F.when(i % 29 != 0, F.col("country")).alias("country"),
+        F.when(i % 59 != 0, F.col("device")).alias("device"), F.when(i % 61 != 0, F.col("latitude") + F.when(i % 19 == 0, 200.0).otherwise(0.0)).alias("latitude"),
+        F.when(i % 67 != 0, F.col("longitude") + F.when(i % 41 == 0, 400.0).otherwise(0.0)).alias("longitude"),
+        F.when(i % 71 != 0, F.col("source")).alias("source"), F.when(i % 31 == 0, 7).when(i % 13 != 0, F.col("is_fraud")).alias("is_fraud"),
+        F.when(i % 37 != 0, F.col("created_at")).alias("created_at"))
+
+
+def position_requests(pos: DataFrame) -> DataFrame:
+    """Position requests as vehicles send them; the rules are broken by order number, so that vehicles of all kinds do."""
+    i = F.split("pos_uuid", "-")[0].cast("long")
+    return pos.select(
+        "id", F.when(i % 47 != 0, F.col("pos_uuid")).alias("pos_uuid"), F.when(i % 41 != 0, F.col("vehicle_id")).alias("vehicle_id"),
+        (F.col("latitude") + F.when(i % 19 == 0, 100.0).otherwise(0.0)).alias("latitude"), (F.col("longitude") + F.when(i % 59 == 0, 400.0).otherwise(0.0)).alias("longitude"),
+        F.when(i % 17 == 0, -1.0).otherwise(F.col("speed_kmh")).alias("speed_kmh"), F.when(i % 23 != 0, F.col("link_id")).alias("link_id"),
+        F.when(i % 53 != 0, F.col("road_type")).alias("road_type"), F.when(i % 37 == 0, -5.0).otherwise(F.col("maxspeed")).alias("maxspeed"),
+        F.when(i % 29 == 0, 24).otherwise(F.col("sim_hour")).alias("sim_hour"), F.when(i % 31 == 0, 0).otherwise(F.col("sim_dow")).alias("sim_dow"),
+        F.when(i % 43 != 0, F.col("created_at")).alias("created_at"))
+
+
+def change_envelopes(tx: DataFrame) -> DataFrame:
+    """Change log of the transactions table as CDC envelopes (JSON ``value``, ``_offset``).
+
+    Every row is created. Every 7th is updated in the same millisecond (only the offset
+    tells the order), every 5th a second later, every 10th again to a smaller amount;
+    every 11th is deleted and every 22nd created anew; every 13th key gets a tombstone.
+    """
+    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    amount = F.col("amount")
+    ms = F.unix_millis(F.col("created_at").cast("timestamp"))
+    none = F.lit(None).cast(TRANSACTIONS)
+
+    def row(value):
+        return F.struct(*[value.alias(c) if c == "amount" else F.col(c) for c in TRANSACTIONS.fieldNames()])
+
+    def change(every, step, op, later, before, after):
+        body = F.struct(before.alias("before"), after.alias("after"), F.lit(op).alias("op"), (ms + later).alias("ts_ms"))
+        return tx.filter(F.col("id") % every == 0).select(F.to_json(body, fmt).alias("value"), (F.col("id") * 10 + step).alias("_offset"))
+
+    log = [change(1, 0, "c", 0, none, row(amount)), change(7, 1, "u", 0, row(amount), row(amount + 0.5)),
+           change(5, 2, "u", 1000, row(amount), row(amount + 1)), change(10, 3, "u", 1500, row(amount + 1), row(amount - 3)),
+           change(11, 4, "d", 2000, row(amount), none), change(22, 5, "c", 3000, none, row(amount * 2)),
+           tx.filter(F.col("id") % 13 == 0).select(F.lit(None).cast("string").alias("value"), (F.col("id") * 10 + 6).alias("_offset"))]
+    out = log[0]
+    for part in log[1:]:
+        out = out.unionByName(part)
+    return out

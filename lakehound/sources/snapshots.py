@@ -86,6 +86,15 @@ class Snapshot:
             rows = rows.filter((F.col("range") >= self.range_of(F.lit(since))) & (F.col("range") != NO_TIME))
         return rows.select(*self.schema.fieldNames())
 
+    def newest(self, n: int) -> DataFrame:
+        """The rows of the newest ranges that together hold at least ``n`` rows (all rows if there are fewer)."""
+        first, have = None, 0
+        for r in sorted(self._manifest()[0].filter(F.col("range") != NO_TIME).collect(), key=lambda r: r.range, reverse=True):
+            first, have = r.range, have + r.rows
+            if have >= n:
+                return self.ranges().filter((F.col("range") >= first) & (F.col("range") != NO_TIME)).select(*self.schema.fieldNames())
+        return self.read()
+
     def as_of(self) -> dt.datetime | None:
         """The newest time of any row, from the manifest alone."""
         return self._manifest()[0].agg(F.max("newest")).first()[0]
