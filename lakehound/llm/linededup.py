@@ -2,9 +2,9 @@
 
 State of an index: exact postings (line key, document), the reference counts
 derived from them, and per shard a cuckoo filter over the keys that are
-referenced often enough. Documents look their lines up in the filter; only
-documents with a hit meet the exact table. Filters and counts take insertions
-and deletions, so taking a document out restores the state without it.
+referenced often enough. Line keys travel to their shard's filter, never a filter to
+all tasks; only keys that a filter may hold meet the exact table. Filters and counts
+take insertions and deletions, so taking a document out restores the state without it.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from lakehound.llm.shared import saved
 
 MIN_POINTS = 20
 MIN_DOCS = 3
-#: Keys that one filter shard is sized for, and filter bytes that one pass over the documents broadcasts.
+#: Keys that one filter shard is sized for; with twice as many on average all are dealt to new shards.
 SHARD_KEYS = 1 << 17
-PASS_BYTES = 64 << 20
 SLOTS, LOAD, KICKS = 4, 0.85, 500
 _STRIP = b" \t\n\v\f\r"
 
@@ -209,51 +208,46 @@ class LineIndex:
         done = saved(self.filters.groupBy("shard").cogroup(moves.groupBy("shard"))
                      .applyInPandas(change, "shard int, buckets long, filter binary, full boolean"), "line-filters")
         out = LineIndex(postings, counts, done.drop("full"), self.shards, self.min_points, self.min_docs)
-        if done.filter("full").limit(1).count():
-            out.filters = saved(filters_of(counts, self.shards), "line-filters")
+        n = counts.count()
+        if n > 2 * self.shards * SHARD_KEYS or done.filter("full").limit(1).count():
+            out.shards = max(1, -(-n // SHARD_KEYS))
+            out.filters = saved(filters_of(counts, out.shards), "line-filters")
         return out
 
-    def hits(self, docs: DataFrame, name: str) -> DataFrame:
-        """``docs`` with a boolean column: whether a filter may hold one of the row's lines.
+    def held(self, postings: DataFrame) -> DataFrame:
+        """The (key, doc_id) of ``postings`` that a filter may hold: all that are in the counts, and few others.
 
-        Filters go to the tasks in groups of at most PASS_BYTES; each group is one more UDF over the rows.
+        Keys go to their shard; a shard's keys are dealt over several tasks by doc_id, each with a copy of
+        that one filter, so neither a common line nor a shard with many lines meets in one task.
         """
-        sizes = {r.shard: r.buckets * SLOTS * 2 for r in self.filters.select("shard", "buckets").collect()}
-        groups, room = [], 0
-        for shard, size in sorted(sizes.items()):
-            if not groups or room + size > PASS_BYTES:
-                groups, room = [*groups, []], 0
-            groups[-1].append(shard)
-            room += size
-        answer = F.lit(False)
-        for group in groups:
-            rows = self.filters.filter(F.col("shard").isin(group)).collect()
-            kept = docs.sparkSession.sparkContext.broadcast({r.shard: (r.buckets, bytes(r.filter)) for r in rows})
-            answer = answer | self._probe(kept)("text")
-        return docs.withColumn(name, answer)
-
-    def _probe(self, kept):
-        shards, min_points = self.shards, self.min_points
-
-        @F.arrow_udf("boolean")
-        def probe(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            tables = {s: Cuckoo(n, np.frombuffer(f, np.uint16).reshape(-1, SLOTS)) for s, (n, f) in kept.value.items()}
-            for column in texts:
-                keys, row = [], []
-                for i, text in enumerate(_texts(column)):
-                    own = [k for k in (line_key(x, min_points) for x in (text or b"").split(b"\n")) if k]
-                    keys += own
-                    row += [i] * len(own)
-                found = np.zeros(len(column), dtype=bool)
-                if keys:
-                    digests, at = _digests(keys), np.array(row)
-                    shard = _shards(digests, shards)
-                    for s, table in tables.items():
-                        own = np.flatnonzero(shard == s)
-                        found[at[own[table.contains(digests[own])]]] = True
-                yield pa.array(found)
-
-        return probe
+        spark = postings.sparkSession
+        slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // self.shards)
+        own = F.pmod(F.xxhash64("doc_id"), F.lit(slices)).cast("int")
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("buckets", "long"), ("filter", "binary"))]
+        keys = postings.select(_shard_column(self.shards)("key").alias("shard"), own.alias("slice"), F.lit(1).alias("kind"), "key", "doc_id", *none)
+        kind = postings.schema["doc_id"].dataType
+        filters = self.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.lit(0).alias("kind"),
+                                      F.lit(None).cast("binary").alias("key"), F.lit(None).cast(kind).alias("doc_id"), "buckets", "filter")
+        place = ["shard", "slice", "kind"]
+        both = keys.unionByName(filters).repartition("shard", "slice").sortWithinPartitions(*place)
+        return both.mapInArrow(_held, postings.select("key", "doc_id").schema)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys that the filter before them may hold; rows come by shard and slice, the filter first."""
+    at, table = None, None
+    for batch in batches:
+        place = np.stack([batch.column(c).to_numpy() for c in ("shard", "slice")])
+        kind = batch.column("kind").to_numpy()
+        heads = np.flatnonzero(np.append(True, (place[:, 1:] != place[:, :-1]).any(axis=0) | (kind[1:] != kind[:-1]))) if batch.num_rows else []
+        passed = np.zeros(batch.num_rows, dtype=bool)
+        for i, j in zip(heads, [*heads[1:], batch.num_rows], strict=True):
+            if kind[i] == 0:
+                at = tuple(place[:, i])
+                table = Cuckoo(batch.column("buckets")[int(i)].as_py(), np.frombuffer(batch.column("filter")[int(i)].as_py(), np.uint16).reshape(-1, SLOTS))
+            elif at == tuple(place[:, i]):  # a shard without a filter holds nothing
+                passed[i:j] = table.contains(_digests(batch.column("key").slice(int(i), int(j - i)).to_pylist()))
+        yield batch.select(["key", "doc_id"]).filter(pa.array(passed))
 
 
 def _rewritten(min_points: int):
@@ -279,23 +273,21 @@ def dedup_lines(docs: DataFrame, index: LineIndex | None = None, min_points: int
     ``min_points`` code points in at least ``min_docs`` documents stay only in the largest doc_id that
     holds them. Null texts count as one empty line and become empty. Rows with a null doc_id keep all
     lines and count for none; rows that repeat a doc_id count as one document. All other columns
-    stay (columns named n_lines or n_dropped are replaced).
+    stay, whatever their names (columns named n_lines or n_dropped are replaced). Texts are taken
+    apart and put together whole.
     """
     index = index or LineIndex.build(docs, min_points, min_docs)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(*names).withColumn("text", text).withColumn(
-        "n_lines", F.length("text") - F.length(F.replace("text", F.lit("\n"))) + F.lit(1).cast("long"))
-    marked = index.hits(rows, "__hit")
-    clean = marked.filter(~F.col("__hit")).drop("__hit").withColumn("n_dropped", F.lit(0).cast("long"))
-    hit = marked.filter("__hit").drop("__hit")
-    # exact check: the keys of documents with a hit against the reference counts
-    lost = (postings_of(hit.select("doc_id", "text"), index.min_points).join(index.counts, "key")
-            .filter(F.col("doc_id") != F.col("keeper")).groupBy("doc_id").agg(F.collect_set("key").alias("__gone")))
-    lost = lost.withColumnRenamed("doc_id", "__doc")
-    both = hit.join(lost, F.col("doc_id") == F.col("__doc"), "left").withColumn("__new", _rewritten(index.min_points)("text", "__gone"))
-    changed = both.select(*[F.col("__new.text").alias(c) if c == "text" else F.col(c) for c in names], "n_lines", F.col("__new.n_dropped").alias("n_dropped"))
-    return clean.select(*changed.columns).unionByName(changed)
+    # the keys that a filter may hold, against the exact reference counts
+    lost = (index.held(postings_of(docs.select("doc_id", "text"), index.min_points)).join(index.counts, "key")
+            .filter(F.col("doc_id") != F.col("keeper")).groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("key").alias("gone")))
+    # the input's other columns travel in one struct, so no name of theirs can meet one of ours
+    rest = F.struct(*[F.col(c) for c in names if c != "text"]).alias("rest")
+    rows = docs.select(rest, F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("body"))
+    both = rows.join(lost, "id", "left").withColumn("new", _rewritten(index.min_points)("body", "gone"))
+    n_lines = F.length("body") - F.length(F.replace("body", F.lit("\n"))) + F.lit(1).cast("long")
+    return both.select(*[F.col("new.text").alias("text") if c == "text" else F.col("rest")[c].alias(c) for c in names],
+                       n_lines.alias("n_lines"), F.col("new.n_dropped").alias("n_dropped"))
 
 
 def line_dedup_digest(docs: DataFrame) -> DataFrame:
