@@ -6,8 +6,8 @@ second one wrongly takes in a third, and so on until none is left. For every
 key of that universe the first level that rejects it tells exactly whether it
 is listed; judging a url needs no join.
 
-The keys of a url are its host and each parent domain, combined with every
-path prefix as long as some rule's path.
+The keys of a url are its host and parent domains with as many labels as some
+rule's host, combined with every path prefix as long as some rule's path.
 """
 
 from __future__ import annotations
@@ -39,11 +39,15 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def url_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All rule keys that would fit: each domain suffix joined to each path prefix of the given lengths."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def url_keys(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
+    """All rule keys that would fit: domain suffixes of so many ``labels`` joined to path prefixes of the ``lengths``.
+
+    A url has as many keys as there are different (labels, length) among the rules, however long its host.
+    """
+    parts = F.split(host, r"\.")
+    n_parts = F.size(parts)
+    counts = F.filter(F.array(*[F.lit(n) for n in labels]), lambda n: n <= n_parts)
+    suffixes = F.transform(counts, lambda n: F.array_join(F.slice(parts, n_parts - n + 1, n), "."))
     prefixes = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path))
     return F.flatten(F.transform(suffixes, lambda s: F.transform(
         prefixes, lambda n: F.concat(s, F.substring(path, F.lit(1), n)))))
@@ -200,13 +204,15 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     ``pages`` needs page_id and url; ``rules`` needs rule (host and path, e.g. ``example.com/en/``)
     and verdict (allow or block). The longest fitting rule decides, block before allow for the same
     rule string; a url that fits none gets ``default``. Null, empty or scheme-less urls have an empty
-    host and path and fit no rule. Repeated pages are judged each; other columns are not used.
+    host and path and fit no rule; very long urls cost in proportion to their length. Repeated pages are judged each; other columns are not used.
     Returns page_id, host, path, rule, verdict.
     """
     clean = rules.select("rule", F.lower("verdict").alias("verdict")).filter("rule is not null and length(rule) > 0").distinct()
-    lengths = [r.n for r in clean.select(F.length(F.regexp_extract("rule", r"(?s)^[^/]*(.*)$", 1)).alias("n")).distinct().collect()]
+    # of the rules, only how many labels and how long a path they have comes here
+    of_host, of_path = F.size(F.split(F.substring_index("rule", "/", 1), r"\.")), F.length(F.regexp_extract("rule", r"(?s)^[^/]*(.*)$", 1))
+    sizes = clean.agg(F.array_sort(F.collect_set(of_host)).alias("labels"), F.array_sort(F.collect_set(of_path)).alias("lengths")).first()
     urls = (pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-            .withColumn("keys", url_keys(F.col("host"), F.col("path"), sorted(lengths)) if lengths else F.array().cast("array<string>")))
+            .withColumn("keys", url_keys(F.col("host"), F.col("path"), sizes.labels, sizes.lengths) if sizes.labels else F.array().cast("array<string>")))
     universe = urls.select(F.explode("keys").alias("key")).distinct()
     universe = saved(universe, "universe")
     out = urls
