@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehound.llm import words as W
+from lakehound.llm.shared import saved
 
 SIMILARITY = 0.8
 RADIUS = 23
@@ -179,7 +180,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     One row per document row and item: doc_id, item_id, similarity (of the best window), start_word,
     n_words. Null and empty texts or items match nothing; a text shorter than an item is one window.
     Of windows with equal similarity the first is given. Repeated rows are searched each.
-    The benchmark is split by a hash of item_id into passes of about ``pass_bytes`` text.
+    The benchmark is split by a hash of item_id into passes of about ``pass_bytes`` text, one after another, each with a
+    written result; texts are searched whole, whatever their length. Other columns are not used.
     """
     spark = docs.sparkSession
     items = benchmark.filter(F.length("text") > 0).select("item_id", "text")
@@ -190,8 +192,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     for k in range(passes):
         own = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).collect()
         kept = spark.sparkContext.broadcast([(r.item_id, r.text) for r in own])
+        del own
         found = _leak_column(kept, kind.simpleString(), similarity)
-        rows = docs.select("doc_id", F.inline(found("text")))
+        rows = saved(docs.select("doc_id", F.inline(found("text"))), "leaks")
+        kept.destroy()  # one pass's items at a time
         out = rows if out is None else out.unionByName(rows)
     return out
 
