@@ -140,14 +140,6 @@ def point_at(poly, d) -> Column:
     return point_at_segments(segments(p), F.element_at(p, 1), d)
 
 
-def midpoint_and_bearing(poly) -> Column:
-    """Midpoint by length and the bearing of the segment that holds it.
-
-    struct(mid_lat, mid_lon, bearing); the fraction is clamped to [0, 1].
-    """
-    return midpoint_and_bearing_segments(segments(_c(poly)))
-
-
 def with_point_at(df, poly: str, d, name: str):
     """DataFrame form of G5: segment array materialised once per row."""
     out = df.withColumn("_segs", segments(poly))

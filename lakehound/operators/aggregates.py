@@ -94,11 +94,3 @@ def confusion(df: DataFrame, pred: str, actual: str) -> DataFrame:
     """Count per (predicted, actual) pair."""
     return df.groupBy(F.col(pred).alias("predicted"), F.col(actual).alias("actual")) \
         .agg(F.count(F.lit(1)).alias("n")).orderBy("predicted", "actual")
-
-
-def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence, value: str,
-                name: str) -> DataFrame:
-    """Cumulative sum from the first row of the partition to the current one."""
-    w = (Window.partitionBy(*partition).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(name, F.sum(F.col(value)).over(w))

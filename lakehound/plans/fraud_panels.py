@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehound.functions.scalar import dow_sun1, hour_of, minute_of, round_half_up
+from lakehound.functions.scalar import dow_sun1, hour_of, round_half_up
 from lakehound.operators import aggregates as A
 from lakehound.operators.filters import time_filter
 from lakehound.operators.joins import scored_transactions, unscored
-from lakehound.operators.topk import newest, top_k
+from lakehound.operators.topk import newest, newest_joined, time_cut, top_k
 
 
 def total_transactions(t: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def country_risk(p: DataFrame, t: DataFrame) -> DataFrame:
 
 def risk_map(p: DataFrame, t: DataFrame, n: int = 2000) -> DataFrame:
     """L2: coordinates and probability of the ``n`` most recently scored transactions."""
-    j = scored_transactions(p, t, ["fraud_probability", "scored_at"], ["latitude", "longitude"])
+    j = newest_joined(p, "scored_at", n, lambda p: scored_transactions(p, t, ["fraud_probability", "scored_at"], ["latitude", "longitude"]))
     return top_k(j, ["scored_at"], n, ["tx_uuid"]).select("latitude", "longitude",
                                                           "fraud_probability")
 
@@ -94,9 +94,8 @@ def score_histogram(p: DataFrame, n: int = 50000, buckets: int = 30) -> DataFram
 
 def recent_scored(p: DataFrame, t: DataFrame, n: int = 100) -> DataFrame:
     """L4: the ``n`` newest transactions with their score, amounts rounded."""
-    j = scored_transactions(p, t, ["fraud_probability", "pred_label"],
-                            ["created_at", "source", "country", "device", "merchant_category",
-                             "amount"])
+    columns = ["created_at", "source", "country", "device", "merchant_category", "amount"]
+    j = newest_joined(t, "created_at", n, lambda t: scored_transactions(p, t, ["fraud_probability", "pred_label"], columns))
     return top_k(j, ["created_at"], n, ["tx_uuid"]).select(
         "created_at", "source", "country", "device",
         F.col("merchant_category").alias("category"),
@@ -108,8 +107,12 @@ def recent_scored(p: DataFrame, t: DataFrame, n: int = 100) -> DataFrame:
 def unscored_features(t: DataFrame, p: DataFrame, limit: int | None = None) -> DataFrame:
     """J3 + L6: transactions without a score, with scoring features.
 
-    With ``limit`` it is the scorer's batch: oldest first, key as tie-break (X13).
+    With ``limit`` it is the scorer's batch: oldest first, key as tie-break (X13), taken from the oldest
+    hours that hold so many rows without a score.
     """
+    if limit is not None:
+        cut = time_cut(unscored(t.select("tx_uuid", "created_at"), p), "created_at", limit, newest_first=False)
+        t = t.filter(cut.isNull() | F.col("created_at").isNull() | (F.col("created_at") < cut + F.expr("INTERVAL 1 HOUR")))
     rows = unscored(t.select("tx_uuid", "amount", "merchant_category", "country", "device",
                              "created_at"), p)
     rows = rows.select("tx_uuid", "amount", "merchant_category", "country", "device",
@@ -128,9 +131,3 @@ def latest_metric(mr: DataFrame, metric: str = "metric") -> DataFrame:
 def model_history(mr: DataFrame, metric: str = "metric") -> DataFrame:
     """Metric per training time."""
     return mr.select(F.col("trained_at").alias("time"), metric).orderBy("time")
-
-
-def fraud_by_minute_source(t: DataFrame) -> DataFrame:
-    """Helper for streaming checks: counts per minute and source (no time filter)."""
-    return t.groupBy(minute_of("created_at").alias("time"), "source") \
-        .agg(F.count(F.lit(1)).alias("events"))

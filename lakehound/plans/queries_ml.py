@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -9,15 +11,19 @@ from pyspark.sql import functions as F
 from lakehound.operators.dedup import latest_by_key
 from lakehound.operators.metrics import auc_by_group
 from lakehound.plans import fraud_panels as P
+from lakehound.plans import registry
 from lakehound.plans.catalog import register
 from lakehound.plans.evaluation import daily_model_runs
-from lakehound.functions.scalar import congestion_level, round_half_up
+from lakehound.functions.scalar import congestion_level, decision, round_half_up
 from lakehound.plans.features import fraud_features
 from lakehound.plans.oracle import fraud
-from lakehound.plans.training import build_pipeline, score_fraud, stratified_split, train_congestion, train_fraud
+from lakehound.plans.training import TrainResult, build_pipeline, stratified_split, train_congestion, train_fraud
 from lakehound.schemas import FRAUD_CATEGORICAL, FRAUD_NUMERIC
+from lakehound.session import shared_dir
 from lakehound.sources import fixtures as X
+from lakehound.sources.sinks import write_predictions
 from lakehound.sources.tables import Tables
+from lakehound.streaming.scorer import ModelCache, alias_lookup, drain_backlog
 
 _RUNS_SQL = """,
 scored AS (
@@ -132,24 +138,66 @@ def onehot_features(spark, sf_dir):
     return out.select("tx_uuid", *columns, F.size("_v").cast("long").alias("n_features"))
 
 
+_registries: dict[tuple, str] = {}
+
+
+def _registry(spark, t: Tables) -> str:
+    """The session's model registry for a set of input files."""
+    key = (spark.sparkContext.applicationId, *t.events.inputFiles(), *t.customer.inputFiles())
+    return _registries.setdefault(key, shared_dir(spark, "registry"))
+
+
+def _trained(spark, sf_dir) -> TrainResult:
+    """A model of the whole feature set, registered as challenger and judged by the gate."""
+    t, _, feats = _fraud_feats(spark, sf_dir)
+    root, result = _registry(spark, t), train_fraud(feats)
+    version = registry.register_model(spark, root, "fraud", result, "roc_auc", feats.schema)
+    registry.set_alias(spark, root, "fraud", registry.CHALLENGER, version)
+    registry.promote(spark, root, "fraud")
+    return result
+
+
 @register("train_fraud_model")
 def train_fraud_model(spark, sf_dir):
-    """M3/M4/M6: train on the whole feature set; one row of run metrics."""
-    _, _, feats = _fraud_feats(spark, sf_dir)
-    res = train_fraud(feats)
-    m = res.metrics
+    """M3/M4/M6: train on the whole feature set and register the model; one row of run metrics."""
+    m = _trained(spark, sf_dir).metrics
     return spark.createDataFrame([(m["n_train"], m["n_test"], m["roc_auc"])],
                                  "n_train long, n_test long, roc_auc double")
 
 
 @register("score_backlog")
 def score_backlog(spark, sf_dir):
-    """Train, then score every transaction that has no prediction yet."""
-    t, tx, feats = _fraud_feats(spark, sf_dir)
-    res = train_fraud(feats)
-    backlog = P.unscored_features(tx, X.predictions(t, tx)).withColumn(
-        "amount_log", F.log1p("amount"))
-    return score_fraud(res.model, backlog, "v-backlog", keep=["created_at"])
+    """The champion scores every transaction that has no prediction yet; the rows that the job wrote.
+
+    A model is trained only where the registry has no champion.
+    """
+    t = Tables(spark, sf_dir)
+    tx = X.transactions(t)
+    models = ModelCache(alias_lookup(spark, _registry(spark, t), "fraud"))
+    if models.current() is None:
+        _trained(spark, sf_dir)
+    path = os.path.join(shared_dir(spark, "predictions"), "table")
+    write_predictions(X.predictions(t, tx), path, 0, "stored")
+    drain_backlog(spark, tx, models, path, "backlog")
+    rows = spark.read.parquet(path).filter("writer = 'backlog'").drop("writer", "batch_id")
+    return rows.join(tx.select("tx_uuid", "created_at"), "tx_uuid")
+
+
+@register("backlog_checks", fraud("""
+SELECT count(*) FILTER (id % 10 = 0) AS scored_now, count(*) AS predictions, 0::BIGINT AS repeated, 0::BIGINT AS unscored,
+  0::BIGINT AS out_of_range, 0::BIGINT AS wrong_label FROM transactions"""))
+def backlog_checks(spark, sf_dir):
+    """After the job every transaction has one prediction, a probability, with its label at one half."""
+    t = Tables(spark, sf_dir)
+    tx = X.transactions(t)
+    now = score_backlog(spark, sf_dir)
+    every = X.predictions(t, tx).select("tx_uuid", "fraud_probability", "pred_label", F.lit(False).alias("now")).unionByName(
+        now.select("tx_uuid", "fraud_probability", "pred_label", F.lit(True).alias("now")))
+    p = F.col("fraud_probability")
+    left = tx.join(every, "tx_uuid", "left_anti").agg(F.count(F.lit(1))).scalar()
+    return every.agg(F.count_if("now").alias("scored_now"), F.count(F.lit(1)).alias("predictions"),
+                     (F.count(F.lit(1)) - F.countDistinct("tx_uuid")).alias("repeated"), F.max(left).alias("unscored"),
+                     F.count_if(p.isNull() | ~p.between(0, 1)).alias("out_of_range"), F.count_if(F.col("pred_label") != decision(p)).alias("wrong_label"))
 
 
 @register("train_congestion_model")

@@ -12,7 +12,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from lakehound.operators import aggregates as A
+from lakehound.functions.scalar import round_half_up
 from lakehound.operators.filters import bbox_filter
+from lakehound.operators.metrics import accuracy
 from lakehound.plans import road_panels as R
 from lakehound.plans.catalog import register
 from lakehound.plans.features import congestion_features
@@ -194,3 +196,11 @@ FROM congestion_pred GROUP BY 1, 2 ORDER BY 1, 2"""))
 def congestion_confusion(spark, sf_dir):
     t, pos = _pos(spark, sf_dir)
     return A.confusion(X.congestion_pred(t, pos), "pred_congestion", "actual_congestion")
+
+
+@register("congestion_accuracy", road_pred("""
+SELECT CAST(round(CAST(avg(CASE WHEN pred_congestion = actual_congestion THEN 1.0 ELSE 0.0 END) AS DECIMAL(38,10)), 6) AS DOUBLE) AS accuracy FROM congestion_pred"""))
+def congestion_accuracy(spark, sf_dir):
+    """M7: share of stored predictions that equal the level seen."""
+    t, pos = _pos(spark, sf_dir)
+    return accuracy(X.congestion_pred(t, pos), "pred_congestion", "actual_congestion").select(round_half_up("accuracy", 6).alias("accuracy"))

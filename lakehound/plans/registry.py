@@ -20,7 +20,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from lakehound.operators.dedup import latest_by_key
 from lakehound.plans.training import TrainResult, save_model
@@ -219,18 +218,3 @@ def log_model_run(spark: SparkSession, path: str, rows: DataFrame) -> int:
 def run_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The logged runs."""
     return read_or_empty(spark, path, schema)
-
-
-def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Training metadata JSON, tolerant: a missing or malformed file gives no rows."""
-    fields = [T.StructField("trained_at", T.StringType()),
-              T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()))]
-    schema = T.StructType(fields + [T.StructField("_corrupt_record", T.StringType())])
-    try:
-        df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-              .option("multiLine", "true").json(path))
-    except AnalysisException as ex:  # missing file: no rows
-        if ex.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], T.StructType(fields))
-    return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")

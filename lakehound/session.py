@@ -64,21 +64,6 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     return os.path.join(str(base), f"{sub}-{uuid.uuid4().hex[:12]}")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a shared folder to write to."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lakehound-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
-    return spark.sparkContext.getCheckpointDir()
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = shared_dir(df.sparkSession, name)
