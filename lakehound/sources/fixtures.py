@@ -121,7 +121,7 @@ _snapshots: dict[tuple, Snapshot] = {}
 
 
 def stored_positions(t: Tables) -> Snapshot:
-    """The positions table kept as a snapshot by month: bulk load, then two batches of changes, folded one by one.
+    """The positions table kept as a snapshot by month: bulk load, then a batch of changes of the last two months.
 
     Built once for a session and set of input files; panels read the ranges they need.
     """
@@ -129,8 +129,10 @@ def stored_positions(t: Tables) -> Snapshot:
     key = (t.spark.sparkContext.applicationId, t.sf_dir, *t.lineitem.inputFiles(), *t.part.inputFiles())
     if key not in _snapshots:
         snap = snapshot(t.spark, shared_dir(t.spark, "positions"), raw, ["pos_uuid"], position_order(), "created_at")
-        for late in (F.col("id") % 50 > 1, F.col("id") % 50 == 1, F.col("id") % 50 == 0):
-            snap.append(raw.filter(late))
+        newest = raw.agg(F.max("created_at")).scalar()
+        late = F.coalesce((F.col("created_at") > newest - F.expr("INTERVAL 60 DAYS")) & (F.col("id") % 3 == 0), F.lit(False))
+        for batch in (~late, late):
+            snap.append(raw.filter(batch))
             snap.fold()
         _snapshots[key] = snap
     return _snapshots[key]

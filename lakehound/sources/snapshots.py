@@ -108,17 +108,22 @@ class Snapshot:
         gen = f"g{uuid.uuid4().hex}"
         changes = self.spark.read.schema(self.schema).parquet(*[self._at("changes", b) for b in sorted(names)])
         new = latest_by_key(changes, self.keys, list(self.order))
-        old = self.ranges()
-        # the stored rows of changed keys, wherever they lie
-        hit = old.join(new.select(*self.keys), list(self.keys), "left_semi")
-        merged = latest_by_key(new.unionByName(hit.drop("range")), self.keys, list(self.order))
-        # written once: its ranges decide what is read, then its rows go there
-        merged = saved(merged.withColumn("range", self.range_of(F.col(self.time))), "merged")
-        touched = [r.range for r in hit.select("range").union(merged.select("range")).distinct().collect()]  # ranges of time
-        kept = old.filter(F.col("range").isin(touched)).join(merged.select(*self.keys), list(self.keys), "left_anti")
-        rows = kept.select(*merged.columns).unionByName(merged)
-        rows.repartition("range").write.partitionBy("range").parquet(self._at("data", f"gen={gen}"))
-        fresh = self.spark.read.schema(merged.schema).parquet(self._at("data", f"gen={gen}"))
+        place = self.range_of(F.col(self.time)).alias("range")
+        if manifest.isEmpty():
+            rows, touched = new.select(*self.schema.fieldNames(), place), []
+        else:
+            old = self.ranges()
+            # the stored rows of changed keys, wherever they lie
+            hit = old.join(new.select(*self.keys), list(self.keys), "left_semi")
+            merged = latest_by_key(new.unionByName(hit.drop("range")), self.keys, list(self.order))
+            # written once: its ranges decide what is read, then its rows go there
+            merged = saved(merged.select(*self.schema.fieldNames(), place), "merged")
+            touched = [r.range for r in hit.select("range").union(merged.select("range")).distinct().collect()]  # ranges of time
+            kept = old.filter(F.col("range").isin(touched)).join(merged.select(*self.keys), list(self.keys), "left_anti")
+            rows = kept.select(*merged.columns).unionByName(merged)
+        # adaptive execution splits a range that is large and puts small ones together: few files, no task with a whole range
+        rows.hint("rebalance", "range").write.partitionBy("range").parquet(self._at("data", f"gen={gen}"))
+        fresh = self.spark.read.schema(rows.schema).parquet(self._at("data", f"gen={gen}"))
         stats = fresh.groupBy("range").agg(F.lit(gen).alias("gen"), F.count(F.lit(1)).alias("rows"), F.max(F.col(self.time).cast("timestamp")).alias("newest"))
         manifest.filter(~F.col("range").isin(touched)).unionByName(stats).coalesce(1).write.parquet(self._at("manifests", gen))
         held.unionByName(self.spark.createDataFrame([(b,) for b in sorted(names)], _BATCHES)).coalesce(1).write.parquet(self._at("batches", gen))
