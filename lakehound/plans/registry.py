@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from lakehound.operators.dedup import latest_by_key
 from lakehound.plans.training import TrainResult, save_model
-from lakehound.sources.versions import ORDER, append_entry, read_or_empty
+from lakehound.sources.versions import ORDER, append_entry, read_log, read_or_empty, write_entry
 
 VERSIONS_SCHEMA = T.StructType([
     *ORDER, T.StructField("name", T.StringType()), T.StructField("run_id", T.StringType()),
@@ -56,15 +56,15 @@ def numbered(log: DataFrame) -> DataFrame:
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    return numbered(read_or_empty(spark, _at(root, "model_versions"), VERSIONS_SCHEMA))
+    return numbered(read_log(spark, _at(root, "model_versions"), VERSIONS_SCHEMA))
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, _at(root, "model_runs"), RUNS_SCHEMA)
+    return read_log(spark, _at(root, "model_runs"), RUNS_SCHEMA)
 
 
 def alias_log(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, _at(root, "model_aliases"), ALIASES_SCHEMA)
+    return read_log(spark, _at(root, "model_aliases"), ALIASES_SCHEMA)
 
 
 def newest_version(spark: SparkSession, root: str, name: str, run_id: str | None = None) -> int:
@@ -86,7 +86,7 @@ def register_model(spark: SparkSession, root: str, name: str, result: TrainResul
     metric = m.get(metric_name)
     run = (run_id, name, now, int(m.get("n_train") or 0), int(m.get("n_test") or 0), metric_name,
            None if metric is None else float(metric))
-    spark.createDataFrame([run], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(_at(root, "model_runs"))
+    write_entry(spark.createDataFrame([run], RUNS_SCHEMA), _at(root, "model_runs"))
     append_entry(spark, _at(root, "model_versions"), VERSIONS_SCHEMA, name=name, run_id=run_id, model_path=path, created_at=now,
                  params=json.dumps(result.params, sort_keys=True), input_schema=input_schema.json() if input_schema is not None else None)
     return newest_version(spark, root, name, run_id)

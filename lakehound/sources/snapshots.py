@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from lakehound.operators.dedup import latest_by_key
 from lakehound.session import saved
-from lakehound.sources.versions import POINTER, append_entry, newest, read_or_empty
+from lakehound.sources.versions import POINTER, append_entry, newest, read_log, read_or_empty
 
 NO_TIME = "none"
 _MANIFEST = T.StructType([T.StructField("range", T.StringType()), T.StructField("gen", T.StringType()),
@@ -61,7 +61,7 @@ class Snapshot:
 
     def _manifest(self) -> tuple[DataFrame, DataFrame]:
         """Ranges and batches of the snapshot in force."""
-        name = read_or_empty(self.spark, self._at("pointer"), POINTER).agg(newest("path")).first()[0]
+        name = read_log(self.spark, self._at("pointer"), POINTER).agg(newest("path")).first()[0]
         if name is None:
             return self.spark.createDataFrame([], _MANIFEST), self.spark.createDataFrame([], _BATCHES)
         return (self.spark.read.schema(_MANIFEST).parquet(self._at("manifests", name)),

@@ -1,6 +1,6 @@
 """Append-only logs with a total order, and tables published as versioned folders behind a pointer.
 
-A log is a folder of small Parquet files, one for each entry. An entry carries ``seq``, one more than
+A log is a folder with a folder for each entry, so that writers at once never meet in one. An entry carries ``seq``, one more than
 the largest its writer saw, and a random ``id``; (seq, id) orders all entries, whatever the clocks
 say. Two writers at once may take one ``seq``: the order between them is then that of their ids, and
 both entries stay. Whatever refers to an entry refers to its ``id``.
@@ -31,6 +31,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def read_log(spark: SparkSession, log: str, schema: T.StructType) -> DataFrame:
+    """All entries of a log; those still being written are not seen."""
+    try:
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(log)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def write_entry(rows: DataFrame, log: str) -> None:
+    """Add ``rows`` to a log as one entry."""
+    rows.coalesce(1).write.parquet(os.path.join(log, uuid.uuid4().hex))
+
+
 def newest(value: str) -> Column:
     """Aggregate: ``value`` of the last entry."""
     return F.max_by(value, F.struct("seq", "id"))
@@ -38,9 +53,9 @@ def newest(value: str) -> Column:
 
 def append_entry(spark: SparkSession, log: str, schema: T.StructType, /, **fields) -> str:
     """Add an entry behind all that this writer sees; returns its id. ``schema`` begins with ORDER."""
-    seq = (read_or_empty(spark, log, schema).agg(F.max("seq")).first()[0] or 0) + 1
+    seq = (read_log(spark, log, schema).agg(F.max("seq")).first()[0] or 0) + 1
     entry = {"seq": seq, "id": uuid.uuid4().hex, **fields}
-    spark.createDataFrame([tuple(entry[f.name] for f in schema)], schema).coalesce(1).write.mode("append").parquet(log)
+    write_entry(spark.createDataFrame([tuple(entry[f.name] for f in schema)], schema), log)
     return entry["id"]
 
 
@@ -58,7 +73,7 @@ def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
 
 def current_path(spark: SparkSession, root: str) -> str | None:
     """The folder of the newest version, or None before the first."""
-    return read_or_empty(spark, os.path.join(root, "pointer"), POINTER).agg(newest("path")).first()[0]
+    return read_log(spark, os.path.join(root, "pointer"), POINTER).agg(newest("path")).first()[0]
 
 
 def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:

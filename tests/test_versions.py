@@ -13,7 +13,7 @@ from lakehound.plans import registry as R
 from lakehound.plans.training import TrainResult
 from lakehound.sources import sinks
 from lakehound.sources.snapshots import snapshot
-from lakehound.sources.versions import POINTER, append_entry, current_path, newest, read_or_empty
+from lakehound.sources.versions import POINTER, append_entry, current_path, newest, read_log, write_entry
 
 ROW = "k string, v long, at timestamp, note string"
 
@@ -106,8 +106,8 @@ def test_log_order_does_not_follow_clocks_or_late_entries(spark, scratch):
     for path in ("a", "b", "c"):
         append_entry(spark, scratch, POINTER, path=path)
     # a second writer that saw only two entries
-    spark.createDataFrame([(3, "00", "late")], POINTER).write.mode("append").parquet(scratch)
-    log = read_or_empty(spark, scratch, POINTER)
+    write_entry(spark.createDataFrame([(3, "00", "late")], POINTER), scratch)
+    log = read_log(spark, scratch, POINTER)
     assert [r.path for r in log.orderBy("seq", "id").collect()] == ["a", "b", "late", "c"]
     assert log.agg(newest("path")).first()[0] == "c"
 
