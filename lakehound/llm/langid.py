@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehound.llm import words as W
+from lakehound.llm.shared import saved, worker_keeps
 
 #: The sample of a language: at most so many different texts, and bytes in all.
 SAMPLE_DOCS, SAMPLE_BYTES = 64, 40960
+#: Texts of a language (about) that are ordered to find the SAMPLE_DOCS first; fewer than those among them has no measurable chance.
+CUT_DOCS = 1024
 #: Bytes of a piece; a text longer than its share gives pieces chosen by hash over its whole length.
 PIECE_BYTES = 128
 #: Symbols of a block; a phrase ends with its block.
@@ -91,18 +94,25 @@ class Parser:
     @classmethod
     def of(cls, samples: dict[str, bytes]) -> Parser:
         symbols, size = _symbols(samples)
-        tables, roots, base = [], [], 0
-        for lang in sorted(samples):
-            seq = _collapsed(symbols[np.frombuffer(samples[lang], np.uint8)])
-            own = suffix_automaton(seq.tolist(), size)
-            start = (np.maximum(own[0], 0) + base) | _PHRASE
-            table = np.where(own >= 0, own + np.int32(base), start.astype(np.int32))
-            table[:, 0] = base
-            tables.append(table)
+        own = {lang: _collapsed(symbols[np.frombuffer(samples[lang], np.uint8)]) for lang in sorted(samples)}
+        # room for all, of which only what is written takes memory: one automaton at a time stands beside it
+        moves = np.empty((sum(2 * len(x) + 3 for x in own.values()), size), dtype=np.int32)
+        roots, base = [], 0
+        for seq in own.values():
+            table = suffix_automaton(seq.tolist(), size)
+            # a symbol that the sample lacks is a phrase of its own: the state behind the last one, which any move leaves
+            alone = len(table)
+            start = np.where(table[0] >= 0, table[0], alone).astype(np.int32) + np.int32(base)
+            into = moves[base:base + alone + 1]
+            np.add(table, np.int32(base), out=into[:alone])
+            np.copyto(into[:alone], start | _PHRASE, where=table < 0)
+            into[0], into[alone] = start, start | _PHRASE
+            into[:, 0] = base
             roots.append(base)
-            base += len(own)
+            base += alone + 1
+            del table
         weights = np.array([np.log2(len(samples[x]) + 2) for x in sorted(samples)])
-        return cls(sorted(samples), weights, symbols, np.array(roots, np.int32), np.concatenate(tables).ravel(), size)
+        return cls(sorted(samples), weights, symbols, np.array(roots, np.int32), moves[:base].ravel(), size)
 
     def phrases(self, text: W.Text) -> tuple[np.ndarray, np.ndarray]:
         """(rows, languages) phrases, and the symbols of each row."""
@@ -183,29 +193,47 @@ def _shares(sizes: list[int], total: int) -> list[int]:
     return out
 
 
+def _cut(most: Column, text: Column) -> Column:
+    @F.arrow_udf("binary")
+    def cut(most: pa.Array, text: pa.Array) -> pa.Array:
+        return pa.array([_pieces(t.encode(), n) for n, t in zip(most.to_pylist(), text.to_pylist(), strict=True)], pa.binary())
+
+    return cut(most, text)
+
+
 def learn(docs: DataFrame) -> dict[str, bytes]:
     """Bounded samples by language, from the different texts of learning rows with the smallest hash.
 
-    Copies of a text count once. Hashes are chosen first, per language, without moving a text; then only
-    one row of each is read. Every chosen text gives its share, as pieces from its whole length.
+    Copies of a text count once. Hashes are chosen first, per language, without moving a text: a cut of the
+    hash by the language's number of texts leaves a few hundred of them to be ordered. Then one row of
+    each chosen text is read and cut where it lies; the driver gets SAMPLE_BYTES a language at most.
+    Every chosen text gives its share, as pieces from its whole length.
     """
-    usable = docs.filter(learning_rows(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("__text", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "__text"), "__text")
-    different = usable.groupBy("lang", "__text").agg(F.min("doc_id").alias("doc_id"))
-    chosen = different.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS).drop("n").collect()
+    usable = docs.filter(learning_rows(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0)).select(
+        F.col("lang").alias("lang"), "doc_id", "text", F.xxhash64("text").alias("same"))
+    place = F.xxhash64(F.lit("sample"), "same")
+    different = saved(usable.groupBy("lang", "same").agg(F.min("doc_id").alias("doc_id"), F.max(F.octet_length("text")).alias("size")).withColumn("place", place), "langid-texts")
+    sizes = different.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # a hash is even over 64 bits: of n texts about CUT_DOCS lie below this
+    low = F.lit(-float(1 << 63)) + F.least(F.lit(1.0), F.lit(float(CUT_DOCS)) / F.col("n")) * float(1 << 64)
+    few = different.join(sizes, "lang").filter((F.col("n") <= CUT_DOCS) | (F.col("place").cast("double") < low))
+    order = Window.partitionBy("lang").orderBy("place", "same")
+    chosen = few.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_DOCS).select("lang", "same", "doc_id", "size").collect()
     if not chosen:
         return {}
-    wanted = {(r.lang, r["__text"]) for r in chosen}
-    rows = usable.filter(F.col("doc_id").isin([r.doc_id for r in chosen]) & F.col("__text").isin([r["__text"] for r in chosen])).select("lang", "__text", "text").distinct()
+    shares = []
+    for lang in {r.lang for r in chosen}:
+        own = [r for r in chosen if r.lang == lang]
+        shares += [(lang, r.same, r.doc_id, n) for r, n in zip(own, _shares([r.size for r in own], SAMPLE_BYTES - len(own)), strict=True)]
+    spark = docs.sparkSession
+    kind = usable.schema["doc_id"].dataType.simpleString()
+    wanted = spark.createDataFrame(shares, f"lang {usable.schema['lang'].dataType.simpleString()}, same long, doc_id {kind}, most int")
+    rows = usable.join(F.broadcast(wanted), ["lang", "same", "doc_id"])  # SAMPLE_DOCS rows a language
+    rows = rows.select("lang", "same", _cut(F.col("most"), F.col("text")).alias("part")).groupBy("lang", "same").agg(F.min("part").alias("part"))
     texts: dict[str, list[bytes]] = {}
-    for r in sorted(rows.collect(), key=lambda r: (r.lang, r.text)):
-        if (r.lang, r["__text"]) in wanted:
-            texts.setdefault(r.lang, []).append(r.text.encode())
-    return {lang: b" ".join(_pieces(t, n) for t, n in zip(own, _shares([len(t) for t in own], SAMPLE_BYTES - len(own)), strict=True))
-            for lang, own in texts.items()}
-
-
-_parsers: dict[int, Parser] = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.lang, r.same)):
+        texts.setdefault(r.lang, []).append(bytes(r.part))
+    return {lang: b" ".join(own) for lang, own in texts.items()}
 
 
 def predicted(spark, samples: dict[str, bytes], text: Column) -> Column:
@@ -214,21 +242,18 @@ def predicted(spark, samples: dict[str, bytes], text: Column) -> Column:
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        key = hash(tuple(sorted(kept.value.items())))
-        if kept.value and key not in _parsers:
-            _parsers.clear()
-            _parsers[key] = Parser.of(kept.value)
+        parser = worker_keeps(("langid", hash(tuple(sorted(kept.value.items())))), lambda: Parser.of(kept.value)) if kept.value else None
         for column in texts:
             names: list[str] = []
             scores: list[float] = []
             for _, part in W.slices([pa.RecordBatch.from_arrays([column], names=["text"])], "text"):
                 lettered = _has_letter(part)
-                if not kept.value:
+                if parser is None:
                     names += [UNDETERMINED] * part.rows
                     scores += [0.0] * part.rows
                     continue
-                best, share = _parsers[key].decide(part)
-                names += [_parsers[key].languages[b] if ok else UNDETERMINED for b, ok in zip(best, lettered, strict=True)]
+                best, share = parser.decide(part)
+                names += [parser.languages[b] if ok else UNDETERMINED for b, ok in zip(best, lettered, strict=True)]
                 scores += np.where(lettered, share, 0.0).tolist()
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakehound.llm import alignment, decontam, langid, licenses, merkle, neardup, packing, privacy, quality, sharding, toxicity, urlfilter
 from lakehound.llm import sql as S
 from lakehound.llm.linededup import line_dedup_digest
-from lakehound.llm.shared import code_on_workers
+from lakehound.llm.shared import code_on_workers, small_batches
 
 #: The URL rules of op 1.
 URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -61,6 +61,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_language_id")
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
@@ -71,6 +72,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +40,28 @@ def code_on_workers(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+#: Rows of whole texts that the JVM and a Python worker exchange at once.
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Exchange fewer rows at once than Spark's default, whose batches of whole texts take tens of MB on both sides of each task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+_kept: dict = {}
+
+
+def worker_keeps(key: object, build: Callable[[], object]) -> object:
+    """The one large object that a Python worker keeps from task to task: what the operator that it works for now has built.
+
+    A worker outlives a stage; what another operator left in it goes before the new object is built.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
