@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from lakehound.llm import words as W
 from lakehound.llm.pieces import Cache
-from lakehound.llm.shared import saved
+from lakehound.llm.shared import saved, worker_keeps
 
 LENGTH = 2048
 END_ID = 1
@@ -158,15 +158,10 @@ def _curve_keys(ids: np.ndarray, first: np.ndarray, signs: np.ndarray) -> np.nda
     return hilbert(points)
 
 
-_pieces: dict[str, Pieces] = {}
-
-
 def _tokenized(path: str, bounds: np.ndarray):
     """doc_id, the range of the key, the key, tokens and ids of rows (doc_id, text, tie)."""
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _pieces:
-            _pieces[path] = Pieces(path)
-        own = _pieces[path]
+        own = worker_keeps(("packing", path), lambda: Pieces(path))
         for batch, text in W.slices(batches, "text"):
             ids, first = own.ids(text)
             keys = _curve_keys(ids, first, own.signs) << TIE_BITS | batch.column("tie").to_numpy(zero_copy_only=False)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import repeat
 
 import numpy as np
 
@@ -28,10 +27,18 @@ class Grown:
         return self._data[:self._n]
 
 
+def _merged(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two tables (keys, slots) as one sorted by key."""
+    keys = np.concatenate([one[0], other[0]])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], np.concatenate([one[1], other[1]])[order]
+
+
 class Cache:
     """Per 64-bit key: numbers (``columns``), runs of values (``pools``) and one object.
 
-    Beyond ``most`` keys those met in one slice only are forgotten, or all where that frees too few.
+    Keys are looked up in a large sorted table and a small one of those learnt last, which joins the
+    large one as it grows. Beyond ``most`` keys those met in one slice only are forgotten, or all where that frees too few.
     A forgotten piece is learnt again, so the bound costs time, never results.
     """
 
@@ -40,8 +47,8 @@ class Cache:
         self._clear()
 
     def _clear(self) -> None:
-        self._slot: dict[int, int] = {}
-        self._used = Grown(np.int32)
+        self._index = [(np.zeros(0, np.uint64), np.zeros(0, np.int32))] * 2
+        self._keys, self._used = Grown(np.uint64), Grown(np.int32)
         self._pools = {k: Grown(t) for k, t in self._kinds.items()}
         self._first = {k: Grown(np.int64) for k in self._kinds}
         self._count = {k: Grown(np.int64) for k in self._kinds}
@@ -49,9 +56,14 @@ class Cache:
         self.objects: list = []
 
     def _add(self, keys: np.ndarray, pools: dict, columns: dict, objects: list) -> None:
-        base = len(self._slot)
-        self._slot.update(zip(keys.tolist(), range(base, base + len(keys)), strict=True))
+        base = len(self._keys.values)
+        self._keys.add(keys)
         self._used.add(np.zeros(len(keys), np.int32))
+        large, small = self._index
+        small = _merged(small, (keys, np.arange(base, base + len(keys), dtype=np.int32)))
+        if len(small[0]) > max(4096, len(large[0]) // 4):
+            large, small = _merged(large, small), (small[0][:0], small[1][:0])
+        self._index = [large, small]
         for k, (count, flat) in pools.items():
             begin = len(self._pools[k].values) + np.cumsum(count) - count
             self._first[k].add(begin)
@@ -65,7 +77,7 @@ class Cache:
         stay = np.flatnonzero(self._used.values > 1)
         if 2 * len(stay) > self.most:
             stay = stay[:0]
-        keys = np.fromiter(self._slot, np.uint64, len(self._slot))[stay]
+        keys = self._keys.values[stay]
         pools = {k: (self._count[k].values[stay], self.runs(k, stay)[0]) for k in self._kinds}
         columns = {k: self._columns[k].values[stay] for k in self._names}
         objects = [self.objects[i] for i in stay.tolist()] if self.objects else []
@@ -73,13 +85,18 @@ class Cache:
         self._add(keys, pools, columns, objects)
 
     def places(self, keys: np.ndarray, learn: Callable[[np.ndarray], tuple[dict, dict, list]]) -> np.ndarray:
-        """Slots of different ``keys``; ``learn`` gives pools, columns and objects of those at the places it gets."""
-        if len(self._slot) + len(keys) > self.most:
+        """Slots of sorted, different ``keys``; ``learn`` gives pools, columns and objects of those at the places it gets."""
+        if len(self._keys.values) + len(keys) > self.most:
             self._forget()
-        at = np.array(list(map(self._slot.get, keys.tolist(), repeat(-1))), dtype=np.int64)
+        at = np.full(len(keys), -1, dtype=np.int64)
+        for table, slots in self._index:
+            if len(table):
+                spot = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+                hit = table[spot] == keys
+                at[hit] = slots[spot[hit]]
         new = np.flatnonzero(at < 0)
         if len(new):
-            at[new] = len(self._slot) + np.arange(len(new))
+            at[new] = len(self._keys.values) + np.arange(len(new))
             self._add(keys[new], *learn(new))
         self._used.values[at] += 1
         return at
