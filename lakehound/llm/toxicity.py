@@ -41,7 +41,7 @@ HELD_PAIRS, BUCKETS = 1 << 20, 4
 #: Documents (about) whose words tell the frequent ones, and a frequent word's share of them.
 SAMPLE_DOCS, HOT_SHARE = 8192, 4096
 WINDOW, STRONG = 16, (1.5, 2.5)
-_BATCH_BYTES = 2 << 20
+_BATCH_BYTES = 1 << 20
 SENT = T.StructType([T.StructField("bucket", T.IntegerType()), *[T.StructField(c, T.BinaryType()) for c in ("words", "n", "before")]])
 WAYS = T.StructType([T.StructField("w", T.IntegerType()), T.StructField("ways", T.LongType()), T.StructField("kinds", T.LongType())])
 COUNTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("before", "u", "w", "toxic")])
