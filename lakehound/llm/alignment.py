@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 
 from lakehound.llm import words as W
 from lakehound.llm.pieces import Cache
-from lakehound.llm.shared import saved
+from lakehound.llm.shared import saved, worker_keeps
 
 #: Bytes of a range, fragments that one reduction composes, bytes of text in a block.
 CHUNK_BYTES, FAN, BLOCK_BYTES = 1 << 16, 16, 8 << 20
@@ -169,9 +169,6 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
-
-
 def _narrow(values: np.ndarray, *kinds: str) -> bytes:
     """In the first of the ``kinds`` that holds them all."""
     most = int(values.max(initial=0))
@@ -221,9 +218,8 @@ def _block(number: int, held: list[tuple[pa.RecordBatch, dict]], schema: pa.Sche
 
 def _blocks(path_a: str, path_b: str, schema: pa.Schema):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path_a, path_b) not in _aligners:
-            _aligners[path_a, path_b] = Aligner(path_a, path_b)
-        own, number = _aligners[path_a, path_b], TaskContext.get().partitionId() << 32
+        own = worker_keeps(("alignment", path_a, path_b), lambda: Aligner(path_a, path_b))
+        number = TaskContext.get().partitionId() << 32
         held, size = [], 0
         for batch, text in W.slices(batches, "data"):
             held.append((batch.drop_columns(["data"]), own.aligned(text)))
