@@ -216,7 +216,8 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     sizes = different.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # a hash is even over 64 bits: of n texts about CUT_DOCS lie below this
     low = F.lit(-float(1 << 63)) + F.least(F.lit(1.0), F.lit(float(CUT_DOCS)) / F.col("n")) * float(1 << 64)
-    few = different.join(sizes, "lang").filter((F.col("n") <= CUT_DOCS) | (F.col("place").cast("double") < low))
+    # one row a language, fewer than the samples that the driver holds; so no text's row moves before the cut
+    few = different.join(F.broadcast(sizes), "lang").filter((F.col("n") <= CUT_DOCS) | (F.col("place").cast("double") < low))
     order = Window.partitionBy("lang").orderBy("place", "same")
     chosen = few.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_DOCS).select("lang", "same", "doc_id", "size").collect()
     if not chosen:
