@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehound.llm import words as W
-from lakehound.llm.shared import saved
+from lakehound.llm.shared import saved, worker_forgets
 
 SIMILARITY = 0.8
 RADIUS = 23
@@ -205,6 +205,7 @@ def _leak_column(kept, kind: str, similarity: float):
 
     @F.arrow_udf(fields)
     def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_forgets()
         bench = Benchmark(kept.value)
         for column in texts:
             out: list[list[dict]] = [[] for _ in range(len(column))]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehound.llm.shared import saved
+from lakehound.llm.shared import saved, worker_forgets
 
 MIN_POINTS = 20
 MIN_DOCS = 3
@@ -142,6 +142,7 @@ def postings_of(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
     """(key, doc_id) of every line long enough, once a row. Rows without doc_id have none."""
     @F.arrow_udf("array<binary>")
     def keys(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_forgets()
         for column in texts:
             out = []
             for text in _texts(column):
@@ -253,6 +254,7 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rewritten(min_points: int):
     @F.arrow_udf("struct<text: string, n_dropped: bigint>")
     def rewrite(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        worker_forgets()
         for texts, drops in batches:
             out, counts = [], []
             for text, gone in zip(_texts(texts), drops.to_pylist(), strict=True):

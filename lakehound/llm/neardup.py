@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lakehound.llm import words as W
 from lakehound.llm.components import components
-from lakehound.llm.shared import saved
+from lakehound.llm.shared import saved, worker_forgets
 
 #: 24 bands of 5 bins: at similarity 0.85 a pair shares none with probability 1e-6.
 BANDS, BAND_BINS = 24, 5
@@ -81,6 +81,7 @@ def set_ids(sets: list[np.ndarray]) -> list[bytes | None]:
 
 def _sketched(n_bands: int):
     def sketch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_forgets()
         for column in texts:
             parts = []
             for _, text in W.slices([pa.RecordBatch.from_arrays([column], names=["text"])], "text"):

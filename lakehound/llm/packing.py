@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from lakehound.llm import words as W
 from lakehound.llm.pieces import Cache
-from lakehound.llm.shared import saved, worker_keeps
+from lakehound.llm.shared import saved, worker_forgets, worker_keeps
 
 LENGTH = 2048
 END_ID = 1
@@ -176,6 +176,7 @@ def _tokenized(path: str, bounds: np.ndarray):
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add ``local``, the tokens of the same range before a row; rows come sorted by range."""
+    worker_forgets()  # the tokenizer and its pieces: the range sort lies between
     last, begin = None, 0
     for batch in batches:
         part, tokens = batch.column("part").to_numpy(), batch.column("doc_tokens").to_numpy()
@@ -192,6 +193,7 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(width: int, length: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_forgets()
         kind = np.dtype(f"<u{width}")
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]

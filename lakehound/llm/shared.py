@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,12 +58,17 @@ def small_batches(spark: SparkSession) -> None:
 _kept: dict = {}
 
 
-def worker_keeps(key: object, build: Callable[[], object]) -> object:
-    """The one large object that a Python worker keeps from task to task: what the operator that it works for now has built.
+def worker_forgets() -> None:
+    """Free what an operator before has left in this Python worker, which outlives its stage."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
-    A worker outlives a stage; what another operator left in it goes before the new object is built.
-    """
+
+def worker_keeps(key: object, build: Callable[[], object]) -> object:
+    """The one large object that a Python worker keeps from task to task: what the operator that it works for now has built."""
     if key not in _kept:
-        _kept.clear()
+        worker_forgets()
         _kept[key] = build()
     return _kept[key]
