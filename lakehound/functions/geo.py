@@ -165,9 +165,12 @@ def parse_linestring(text) -> Column:
     poly = F.transform(pts, lambda xy: F.struct(
         F.try_element_at(xy, F.lit(2)).try_cast("double").alias("lat"),
         F.try_element_at(xy, F.lit(1)).try_cast("double").alias("lon")))
-    ok = (inner != "") & (F.size(poly) >= 2) & F.forall(
-        poly, lambda q: q["lat"].isNotNull() & q["lon"].isNotNull())
-    return F.when(t.isNotNull() & ok, poly)
+
+    def good(p: Column) -> Column:
+        return F.when((F.size(p) >= 2) & F.forall(p, lambda q: q["lat"].isNotNull() & q["lon"].isNotNull()), p)
+
+    # the line is named by a lambda's variable, so that it is parsed once and not for every use
+    return F.when(t.isNotNull() & (inner != ""), F.get(F.transform(F.array(poly), good), 0))
 
 
 def reverse_polyline(poly) -> Column:

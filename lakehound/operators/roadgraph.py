@@ -84,11 +84,12 @@ def edges_with_geometry(raw: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def add_reverse_edges(edges: DataFrame) -> DataFrame:
     """Add the opposite direction of every edge (same link id, reversed polyline)."""
-    fwd = edges.withColumn("is_reverse", F.lit(False))
-    rev = edges.select(
-        F.col("dst").alias("src"), F.col("src").alias("dst"), "edge_key", "link_id", "road_type",
-        "maxspeed", geo.reverse_polyline("poly").alias("poly")).withColumn("is_reverse", F.lit(True))
-    return fwd.unionByName(rev)
+    both = edges.withColumn("is_reverse", F.explode(F.array(F.lit(False), F.lit(True))))  # the edges are made once
+    back = F.col("is_reverse")
+    return both.select(
+        F.when(back, F.col("dst")).otherwise(F.col("src")).alias("src"), F.when(back, F.col("src")).otherwise(F.col("dst")).alias("dst"),
+        "edge_key", "link_id", "road_type", "maxspeed",
+        F.when(back, geo.reverse_polyline("poly")).otherwise(F.col("poly")).alias("poly"), "is_reverse")
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -138,9 +139,10 @@ def link_geo(edges: DataFrame) -> DataFrame:
     depend on how the file is cut.
     """
     e = edges if "is_reverse" in edges.columns else edges.withColumn("is_reverse", F.lit(False))
-    e = e.filter(F.size("poly") >= 2)
     order = ["is_reverse", "src", "dst", *(["edge_key"] if "edge_key" in e.columns else []), "poly"]
-    one = first_by_key(e.select("link_id", *order), ["link_id"], [F.col(c).asc() for c in order])
+    # a generator, through which the filter is not pushed: the line is made once
+    e = e.select("link_id", *order[:-1], F.explode(F.array("poly")).alias("poly")).filter(F.size("poly") >= 2)
+    one = first_by_key(e, ["link_id"], [F.col(c).asc() for c in order])
     mb = F.col("_mb")
     return geo.with_midpoint(one, "poly", "_mb").select(
         "link_id", mb["mid_lat"].alias("mid_lat"), mb["mid_lon"].alias("mid_lon"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehound.functions import geo
+from lakehound.session import saved
 
 
 def stops(pos: DataFrame) -> DataFrame:
@@ -31,7 +32,8 @@ def route_nodes(link_geo: DataFrame) -> DataFrame:
 
 def route_edges(pos: DataFrame, link_geo: DataFrame) -> DataFrame:
     """Edges (src, dst, edge_key, link_id, road_type, maxspeed, speed_kmh, poly)."""
-    a = stops(pos)
+    # both sides of the join read the positions, which are mostly the outcome of a dedup: it is run once
+    a = stops(saved(pos.select("pos_uuid", "link_id", "road_type", "maxspeed", "speed_kmh", "latitude", "longitude"), "stops"))
     b = a.select("o", (F.col("k") - 1).alias("k"), F.col("link_id").alias("dst"),
                  F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"))
     hops = a.join(b, ["o", "k"]).withColumnRenamed("link_id", "src")
