@@ -109,11 +109,13 @@ def adjacency_lists(nodes: DataFrame, edges: DataFrame, most: int = LIST_EDGES)
     stand in the order of their link id (then target and the reversed copies), so the lists do not
     depend on arrival. Nodes without out-edges have one empty list, as in a map filled with all
     nodes first. No node's edges meet in one task: places come from a range sort.
-    ``targets``: array<struct<dst, link_id, road_type, maxspeed, poly>>.
+    ``targets``: array<struct<dst, link_id, road_type, maxspeed, poly>>, of the last three those that
+    ``edges`` has: columns that a caller does not need are best left out, as the rows are sorted and stored.
     """
     e = edges if "is_reverse" in edges.columns else edges.withColumn("is_reverse", F.lit(False))
-    e = with_place(e, ["src"], ["link_id", "dst", "is_reverse"], "_place")
-    target = F.struct(F.col("_place"), "dst", "link_id", "road_type", "maxspeed", "poly")
+    given = ["dst", "link_id", *[c for c in ("road_type", "maxspeed", "poly") if c in edges.columns]]
+    e = with_place(e.select("src", "is_reverse", *given), ["src"], ["link_id", "dst", "is_reverse"], "_place")
+    target = F.struct("_place", *given)
     lists = e.groupBy("src", F.floor(F.col("_place") / most).alias("chunk")).agg(F.array_sort(F.collect_list(target)).alias("targets"))
     lists = lists.select("src", "chunk", F.transform("targets", lambda t: t.dropFields("_place")).alias("targets"))
     none = F.array().cast(lists.schema["targets"].dataType)

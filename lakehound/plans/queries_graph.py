@@ -139,4 +139,4 @@ def graphml_adjacency(spark, sf_dir):
     """Adjacency lists of the undirected file's nodes, 64 edges a list."""
     nodes, edges = _graph(spark, sf_dir, directed=False)
     written = F.array_join(F.transform("targets", lambda t: F.concat_ws(":", t["dst"], t["link_id"])), ",")
-    return G.adjacency_lists(nodes, edges, 64).select("node_id", "chunk", F.col("n_edges").cast("long").alias("n_edges"), written.alias("targets"))
+    return G.adjacency_lists(nodes, edges.select("src", "dst", "link_id", "is_reverse"), 64).select("node_id", "chunk", F.col("n_edges").cast("long").alias("n_edges"), written.alias("targets"))

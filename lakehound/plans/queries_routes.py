@@ -130,7 +130,7 @@ FROM link_geo g LEFT JOIN placed p ON p.src = g.link_id GROUP BY 1, 2"""))
 def q_graph_adjacency(spark, sf_dir):
     """Adjacency lists of all nodes, hubs over several rows."""
     _, lg, e = _edges(spark, sf_dir)
-    lists = G.adjacency_lists(route_nodes(lg), e, LIST_EDGES)
+    lists = G.adjacency_lists(route_nodes(lg), e.select("src", "dst", "link_id"), LIST_EDGES)
     written = F.array_join(F.transform("targets", lambda t: F.concat_ws(":", t["dst"], t["link_id"])), ",")
     return lists.select("node_id", "chunk", F.col("n_edges").cast("long").alias("n_edges"), written.alias("targets"))
 

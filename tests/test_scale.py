@@ -35,6 +35,13 @@ def test_edges_are_made_once_for_both_ways(spark):
         ("a", "b", "a_b", False, 35.0), ("a", "b", "b_a", True, 35.1), ("b", "a", "a_b", True, 35.1), ("b", "a", "b_a", False, 35.0)]
 
 
+def test_adjacency_lists_hold_only_the_columns_given(spark):
+    nodes = spark.createDataFrame([("a",), ("b",), ("c",)], "node_id string")
+    narrow = G.adjacency_lists(nodes, _edges(spark).select("src", "dst", "link_id"))
+    assert {r.node_id: [(t.dst, t.link_id) for t in r.targets] for r in narrow.collect()} == {"a": [("b", "a_b")], "b": [("a", "b_a")], "c": []}
+    assert narrow.schema["targets"].dataType.elementType.fieldNames() == ["dst", "link_id"]
+
+
 def test_a_line_is_parsed_once(spark):
     from lakehound.functions.geo import parse_linestring
     edges = spark.createDataFrame([("l", "a", "b", "1", "LINESTRING (1 2, 3 4)"), ("m", "a", "b", "1", "LINESTRING (1 2)")],
