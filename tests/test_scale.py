@@ -1,16 +1,65 @@
 """Steps that run once, or leave rows where they lie, so that large tables cost no more than their share."""
 
+import datetime as dt
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from lakehound.operators import roadgraph as G
 from lakehound.operators.dedup import latest_by_key
 from lakehound.plans.routes import route_edges
+from lakehound.sources import snapshots as S
 
 
 def _plan(df, which="optimizedPlan"):
     return getattr(df._jdf.queryExecution(), which)().toString()
 
 
+def _snap(spark, root):
+    rnd = random.Random(5)
+    at = dt.datetime(2024, 1, 15)
+
+    def rows(n, note):
+        return [(None if rnd.random() < 0.05 else f"k{rnd.randrange(150)}", rnd.randrange(1000), at + dt.timedelta(days=rnd.randrange(200)), f"{note}{i}")
+                for i in range(n)]
+    schema = "k string, v long, at timestamp, note string"
+    order = [F.col("v").desc(), F.col("note").desc()]
+    snap = S.snapshot(spark, root, spark.createDataFrame([], schema), ["k"], order, "at")
+    return snap, [spark.createDataFrame(rows(n, x), schema) for n, x in ((300, "a"), (12, "b"), (90, "c"))], order
+
+
+@pytest.mark.parametrize("keys,files", [(2 ** 21, 16), (2 ** 21, 0), (0, 16)])
+def test_a_batch_folded_either_way_equals_the_dedup(spark, scratch, monkeypatch, keys, files):
+    monkeypatch.setattr(S, "MOST_KEYS", keys)
+    monkeypatch.setattr(S, "MOST_FILES", files)
+    snap, batches, order = _snap(spark, scratch)
+    seen = None
+    for b in batches:
+        b = b.filter("k IS NOT NULL")
+        seen = b if seen is None else seen.unionByName(b)
+        snap.append(b)
+        snap.fold()
+        assert sorted(map(tuple, snap.read().collect())) == sorted(map(tuple, latest_by_key(seen, ["k"], order).collect()))
+
+
+def test_a_small_batch_leaves_stored_rows_where_they_lie(spark, scratch):
+    snap, (first, second, _), _ = _snap(spark, scratch)
+    snap.append(first)
+    snap.fold()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near, far = snap._dealt(snap.ranges(), second)
+        plan = _plan(far, "executedPlan")
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = {r.k for r in second.collect()}
+    stored = snap.ranges().collect()
+    assert near.count() + far.count() == len(stored)
+    assert {r.k for r in stored} & keys <= {r.k for r in near.collect()}
+
+
 def test_positions_of_a_route_are_merged_once(spark):
     pos = spark.range(60).select(
         F.concat(F.floor(F.col("id") / 6).cast("string"), F.lit("-"), (F.col("id") % 3).cast("string")).alias("pos_uuid"), (F.col("id") % 4).cast("string").alias("link_id"),
@@ -49,3 +98,13 @@ def test_a_line_is_parsed_once(spark):
     links = G.link_geo(edges)
     assert _plan(links).count("split(") <= 2  # the line's points, and the two numbers of each
     assert [r.link_id for r in links.collect()] == ["l"]
+
+
+def test_a_forest_gets_even_rows_for_all_tasks(spark, monkeypatch):
+    from lakehound.plans import training
+    monkeypatch.setattr(training, "PART_ROWS", 40)
+    few = spark.range(1000).coalesce(1)
+    sizes = [r["count"] for r in training.dealt(few).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 25 and max(sizes) <= 2 * 40
+    monkeypatch.setattr(training, "PART_ROWS", 10 ** 6)
+    assert training.dealt(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
