@@ -19,7 +19,7 @@ from lakehound.session import shared_dir
 from lakehound.sources import fixtures as X
 from lakehound.sources.tables import Tables
 from lakehound.streaming.changes import parse_change, read_change_stream, with_event_time
-from lakehound.streaming.replay import END, files_per_batch, finished, stopped_and_resumed, write_in_order
+from lakehound.streaming.replay import END, files_per_batch, finished, state_by_file, stopped_and_resumed, write_in_order
 from lakehound.streaming.scorer import start
 from lakehound.streaming.windows import dedup_stream, link_congestion_stream, minute_counts_stream
 
@@ -50,8 +50,9 @@ def stream_minute_counts(spark, sf_dir):
     """Per-minute counts from the stream; windows closed by the watermark."""
     root, s = _replay(spark, sf_dir)
     out = os.path.join(root, "out")
-    q = start(minute_counts_stream(s, DELAY), os.path.join(root, "ckpt"), path=out,
-              available_now=True)
+    with state_by_file(spark):
+        q = start(minute_counts_stream(s, DELAY), os.path.join(root, "ckpt"), path=out,
+                  available_now=True)
     finished(q)
     return spark.read.parquet(out).filter(F.col("source") != END).select(F.col("time").cast("timestamp_ntz").alias("time"),
                                           "source", "events")
@@ -64,7 +65,12 @@ def stream_resumed(spark, sf_dir):
     """The minute counts under a processing-time trigger, stopped after a batch and resumed from the checkpoint."""
     root, s = _replay(spark, sf_dir)
     out = os.path.join(root, "out")
-    stopped_and_resumed(lambda **how: start(minute_counts_stream(s, DELAY), os.path.join(root, "ckpt"), path=out, **how))
+
+    def begin(**how):
+        with state_by_file(spark):
+            return start(minute_counts_stream(s, DELAY), os.path.join(root, "ckpt"), path=out, **how)
+
+    stopped_and_resumed(begin)
     return spark.read.parquet(out).filter(F.col("source") != END).select(F.col("time").cast("timestamp_ntz").alias("time"),
                                           "source", "events")
 
@@ -75,8 +81,9 @@ def stream_dedup(spark, sf_dir):
     """Every seventh event replayed; the stream keeps one per tx_uuid."""
     root, s = _replay(spark, sf_dir, copies_every=7)
     out = os.path.join(root, "out")
-    q = start(dedup_stream(s, "tx_uuid", DELAY).select("tx_uuid", "amount", "created_at"),
-              os.path.join(root, "ckpt"), path=out, available_now=True)
+    with state_by_file(spark):
+        q = start(dedup_stream(s, "tx_uuid", DELAY).select("tx_uuid", "amount", "created_at"),
+                  os.path.join(root, "ckpt"), path=out, available_now=True)
     finished(q)
     return spark.read.parquet(out).filter(F.col("tx_uuid") != END).select(
         "tx_uuid", "amount", F.col("created_at").cast("timestamp_ntz").alias("created_at"))
@@ -99,8 +106,9 @@ def stream_link_congestion(spark, sf_dir):
     s = with_event_time(parse_change(read_change_stream(
         spark, {"kind": "files", "max_files": files_per_batch(spark), "path": os.path.join(root, "in")}), ROAD_EVENT))
     out = os.path.join(root, "out")
-    q = start(link_congestion_stream(s, "1 minute"), os.path.join(root, "ckpt"), path=out,
-              available_now=True)
+    with state_by_file(spark):
+        q = start(link_congestion_stream(s, "1 minute", block=5), os.path.join(root, "ckpt"), path=out,
+                  available_now=True)
     finished(q)
     return spark.read.parquet(out).filter(F.col("link_id") != END).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),

@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import os
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +25,31 @@ def files_per_batch(spark: SparkSession) -> int:
     return max(2, spark.sparkContext.defaultParallelism)
 
 
+@contextmanager
+def state_by_file(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in one partition for each file of a batch.
+
+    A partition's commit costs much the same however few rows it got, so the number follows the tasks that run at
+    once, not the session's shuffle partitions. A stream that resumes keeps the number in its checkpoint.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(files_per_batch(spark)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _ranges(rows: DataFrame, cuts: list[int]) -> DataFrame:
+    """Add ``slice``, the number of cuts (ascending) below ``at``, found by a binary search; 0 without a time."""
+    if not cuts:
+        return rows.withColumn("slice", F.lit(0))
+    known = rows.withColumn("_at", F.coalesce("at", F.lit(cuts[0])).cast("double"))
+    search = Bucketizer(splits=[-math.inf, *[float(c + 1) for c in cuts], math.inf], inputCol="_at", outputCol="_slice")
+    return search.transform(known).withColumn("slice", F.col("_slice").cast("int")).drop("_at", "_slice")
+
+
 def write_in_order(events: DataFrame, folder: str, end: str) -> None:
     """Write (value, created_at) as text files whose modification order is that of event time.
 
@@ -34,19 +61,19 @@ def write_in_order(events: DataFrame, folder: str, end: str) -> None:
     spark, files = events.sparkSession, files_per_batch(events.sparkSession)
     at = F.unix_micros(F.col("created_at").cast("timestamp"))
     staged = shared_dir(spark, "staged")
-    rows = events.select("value", "created_at", at.alias("at"))
     plain = os.path.join(staged, "rows")
-    rows.write.parquet(plain)
+    events.select("value", "created_at", at.alias("at")).write.parquet(plain)
     rows = spark.read.parquet(plain)
     n, last = rows.agg(F.count(F.lit(1)), F.max("created_at").cast("timestamp_ntz")).first()
-    ranges = max(2, math.ceil(n / (FILE_ROWS * files)))
-    cuts = rows.select(F.percentile_approx("at", [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("at"))) if cuts else F.lit(0)
     if not n:
         return
-    rows.withColumn("slice", part).repartitionByRange(ranges * files, "at", F.xxhash64("value")).write.partitionBy("slice").parquet(
-        os.path.join(staged, "slices"))
-    slices = spark.read.parquet(os.path.join(staged, "slices")).select("slice", "value", F.pmod(F.xxhash64("value", "at"), F.lit(files)).cast("int").alias("file"))
+    ranges = max(2, math.ceil(n / (FILE_ROWS * files)))
+    cuts = rows.select(F.percentile_approx("at", [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
+    cuts = sorted(set(cuts))
+    file = F.pmod(F.xxhash64("value", "at"), F.lit(files)).cast("int")
+    _ranges(rows, cuts).select("slice", "value", file.alias("file")).repartitionById(
+        (len(cuts) + 1) * files, F.col("slice") * files + F.col("file")).write.partitionBy("slice").parquet(os.path.join(staged, "slices"))
+    slices = spark.read.parquet(os.path.join(staged, "slices"))
     # a blank line for each file, which no parser takes for an event: a range has just as many files as a batch reads
     blank = spark.range(files).select(F.lit("").alias("value"), F.col("id").cast("int").alias("file"))
     for k in range(len(cuts) + 1):  # the partition filter reads that range's rows alone
