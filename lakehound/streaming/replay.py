@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakehound.session import shared_dir
+from lakehound.session import discard, shared_dir
 
 #: Rows of a file (about); a batch reads one file for each task the cluster runs at once.
 FILE_ROWS = 100_000
+#: Batches of a replay whose state and offsets are kept, for a restart.
+KEPT_BATCHES = 5
 #: Names the closing event, which queries leave out of their result.
 END = "__end__"
 
@@ -31,14 +33,24 @@ def state_by_file(spark: SparkSession) -> Iterator[None]:
 
     A partition's commit costs much the same however few rows it got, so the number follows the tasks that run at
     once, not the session's shuffle partitions. A stream that resumes keeps the number in its checkpoint.
+    The state's files are packed well, and those of batches before the last KEPT_BATCHES go.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(files_per_batch(spark)))
+    with _set(spark, {"spark.sql.shuffle.partitions": files_per_batch(spark), "spark.sql.streaming.minBatchesToRetain": KEPT_BATCHES,
+                      "spark.sql.streaming.stateStore.compression.codec": "zstd"}):
+        yield
+
+
+@contextmanager
+def _set(spark: SparkSession, settings: dict) -> Iterator[None]:
+    """The session with other settings inside."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _ranges(rows: DataFrame, cuts: list[int]) -> DataFrame:
@@ -57,12 +69,18 @@ def write_in_order(events: DataFrame, folder: str, end: str) -> None:
     at least two ranges, so that a batch follows another), each written after the one before as the
     files of one batch. Rows are dealt out by a hash, so many rows of one time still make files of like size. ``end`` is
     the closing event's text, with a place for its time, a day later: it lets the watermark pass all windows.
+    Everything written is compressed, and each step's copy and shuffle files go when the next one stands.
     """
+    with _set(events.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        _write_steps(events, folder, end)
+
+
+def _write_steps(events: DataFrame, folder: str, end: str) -> None:
     spark, files = events.sparkSession, files_per_batch(events.sparkSession)
     at = F.unix_micros(F.col("created_at").cast("timestamp"))
     staged = shared_dir(spark, "staged")
-    plain = os.path.join(staged, "rows")
-    events.select("value", "created_at", at.alias("at")).write.parquet(plain)
+    plain, sliced = os.path.join(staged, "rows"), os.path.join(staged, "slices")
+    events.select("value", "created_at", at.alias("at")).write.option("compression", "zstd").parquet(plain)
     rows = spark.read.parquet(plain)
     n, last = rows.agg(F.count(F.lit(1)), F.max("created_at").cast("timestamp_ntz")).first()
     if not n:
@@ -72,15 +90,17 @@ def write_in_order(events: DataFrame, folder: str, end: str) -> None:
     cuts = sorted(set(cuts))
     file = F.pmod(F.xxhash64("value", "at"), F.lit(files)).cast("int")
     _ranges(rows, cuts).select("slice", "value", file.alias("file")).repartitionById(
-        (len(cuts) + 1) * files, F.col("slice") * files + F.col("file")).write.partitionBy("slice").parquet(os.path.join(staged, "slices"))
-    slices = spark.read.parquet(os.path.join(staged, "slices"))
+        (len(cuts) + 1) * files, F.col("slice") * files + F.col("file")).write.partitionBy("slice").option("compression", "zstd").parquet(sliced)
+    discard(spark, plain)
+    slices = spark.read.parquet(sliced)
     # a blank line for each file, which no parser takes for an event: a range has just as many files as a batch reads
     blank = spark.range(files).select(F.lit("").alias("value"), F.col("id").cast("int").alias("file"))
     for k in range(len(cuts) + 1):  # the partition filter reads that range's rows alone
         piece = slices.filter(F.col("slice") == k).select("value", "file").unionByName(blank)
-        piece.repartitionById(files, "file").select("value").write.mode("append").text(folder)
+        piece.repartitionById(files, "file").select("value").write.mode("append").option("compression", "gzip").text(folder)
+        discard(spark, os.path.join(sliced, f"slice={k}"))
     stamp = F.date_format(F.lit(last) + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss")
-    spark.range(1).select(F.format_string(end, stamp).alias("value")).coalesce(1).write.mode("append").text(folder)
+    spark.range(1).select(F.format_string(end, stamp).alias("value")).coalesce(1).write.mode("append").option("compression", "gzip").text(folder)
 
 
 def finished(q: StreamingQuery) -> None:
