@@ -36,7 +36,7 @@ def _replay(spark, sf_dir, copies_every: int | None = None):
                        "id", "created_at")
     if copies_every:
         events = events.unionByName(events.filter(F.col("id") % copies_every == 0))
-    write_in_order(events, os.path.join(root, "in"), '{"tx_uuid": "' + END + '", "source": "' + END + '", "created_at": "%s"}')
+    write_in_order(events, os.path.join(root, "in"), '{"tx_uuid": "' + END + '", "source": "' + END + '", "created_at": "%s"}', "gzip")
     stream = parse_change(read_change_stream(spark, {"kind": "files", "max_files": files_per_batch(spark),
                                                      "path": os.path.join(root, "in")}),
                           FRAUD_EVENT_FULL)
@@ -102,7 +102,7 @@ def stream_link_congestion(spark, sf_dir):
     pos = X.vehicle_positions(Tables(spark, sf_dir))
     fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     events = pos.select(F.to_json(F.struct(*[F.col(c) for c in pos.columns]), fmt).alias("value"), "created_at")
-    write_in_order(events, os.path.join(root, "in"), '{"pos_uuid": "' + END + '", "link_id": "' + END + '", "created_at": "%s"}')
+    write_in_order(events, os.path.join(root, "in"), '{"pos_uuid": "' + END + '", "link_id": "' + END + '", "created_at": "%s"}', "gzip")
     s = with_event_time(parse_change(read_change_stream(
         spark, {"kind": "files", "max_files": files_per_batch(spark), "path": os.path.join(root, "in")}), ROAD_EVENT))
     out = os.path.join(root, "out")

@@ -62,20 +62,20 @@ def _ranges(rows: DataFrame, cuts: list[int]) -> DataFrame:
     return search.transform(known).withColumn("slice", F.col("_slice").cast("int")).drop("_at", "_slice")
 
 
-def write_in_order(events: DataFrame, folder: str, end: str) -> None:
+def write_in_order(events: DataFrame, folder: str, end: str, compression: str = "none") -> None:
     """Write (value, created_at) as text files whose modification order is that of event time.
 
     Rows are cut into ranges of event time of FILE_ROWS times :func:`files_per_batch` rows (about;
     at least two ranges, so that a batch follows another), each written after the one before as the
     files of one batch. Rows are dealt out by a hash, so many rows of one time still make files of like size. ``end`` is
     the closing event's text, with a place for its time, a day later: it lets the watermark pass all windows.
-    Everything written is compressed, and each step's copy and shuffle files go when the next one stands.
+    The files are packed by ``compression``, and each step's copy and shuffle files go when the next one stands.
     """
     with _set(events.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        _write_steps(events, folder, end)
+        _write_steps(events, folder, end, compression)
 
 
-def _write_steps(events: DataFrame, folder: str, end: str) -> None:
+def _write_steps(events: DataFrame, folder: str, end: str, compression: str) -> None:
     spark, files = events.sparkSession, files_per_batch(events.sparkSession)
     at = F.unix_micros(F.col("created_at").cast("timestamp"))
     staged = shared_dir(spark, "staged")
@@ -97,10 +97,10 @@ def _write_steps(events: DataFrame, folder: str, end: str) -> None:
     blank = spark.range(files).select(F.lit("").alias("value"), F.col("id").cast("int").alias("file"))
     for k in range(len(cuts) + 1):  # the partition filter reads that range's rows alone
         piece = slices.filter(F.col("slice") == k).select("value", "file").unionByName(blank)
-        piece.repartitionById(files, "file").select("value").write.mode("append").option("compression", "gzip").text(folder)
+        piece.repartitionById(files, "file").select("value").write.mode("append").option("compression", compression).text(folder)
         discard(spark, os.path.join(sliced, f"slice={k}"))
     stamp = F.date_format(F.lit(last) + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss")
-    spark.range(1).select(F.format_string(end, stamp).alias("value")).coalesce(1).write.mode("append").option("compression", "gzip").text(folder)
+    spark.range(1).select(F.format_string(end, stamp).alias("value")).coalesce(1).write.mode("append").option("compression", compression).text(folder)
 
 
 def finished(q: StreamingQuery) -> None:

@@ -190,7 +190,7 @@ def test_a_replay_leaves_one_compressed_copy(spark, scratch):
     events = spark.range(20_000).select(
         F.when(F.col("id") % 97 != 0, F.to_json(F.struct("id", F.lit("a link that many events name").alias("link_id")))).alias("value"),
         F.when(F.col("id") % 89 != 0, F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id % 1000)")).alias("created_at"))
-    write_in_order(events, f"{scratch}/in", '{"id": "' + END + '", "at": "%s"}')
+    write_in_order(events, f"{scratch}/in", '{"id": "' + END + '", "at": "%s"}', "gzip")
     staged = files(base) - before
     assert not [f for f in staged if f.endswith(".parquet")] and not shuffles() - moved
     text = spark.read.text(f"{scratch}/in").filter("value <> ''")
